@@ -34,6 +34,7 @@ from ..specs import UnitSpec
 
 ID = "ID_INSCRIPCION"
 DATE = "FECHA_PAGO_PRODUCTIVIDAD"
+VERDICT = "CONDICION_PRODUCTIVIDAD"
 HEAD = (
     "UNIDAD", "SEDE", "ASESOR", "CI_ASESOR", "ALUMNO", "CI_ALUMNO",
     "TIPO_PROGRAMA", ID, "COD_CONTABLE", "PROGRAMA", "ID_PROGRAMA",
@@ -52,14 +53,7 @@ def run(
 
     ``ordered=False`` leaves out the final global sort, for callers that store the result.
     """
-    rows = with_balances(tables, spec, unit_enrolments(tables, spec))
-    if spec.plan_in_rule:
-        rows = attach_plan_type(rows, tables)
-    rows = rows.withColumn(DATE, spec.date()).where(
-        within_period(F.col(DATE), start, end, as_of)
-    )
-    rows = rows.withColumn("CONDICION_PRODUCTIVIDAD", spec.condition())
-
+    rows = rated(tables, spec).where(within_period(F.col(DATE), start, end, as_of))
     if spec.plan_type and not spec.plan_in_rule:
         rows = attach_plan_type(rows, tables)
     catalogue = program_catalogue(tables, spec.sites, spec.institutions, spec.agreement)
@@ -71,9 +65,22 @@ def run(
     return rows.select(*_columns(spec))
 
 
+def rated(tables, spec: UnitSpec) -> DataFrame:
+    """The unit's enrolments with balances, productivity date and verdict, of any period.
+
+    A spec with no sites takes the enrolments of every site.
+    """
+    rows = with_balances(tables, spec, unit_enrolments(tables, spec))
+    if spec.plan_in_rule:
+        rows = attach_plan_type(rows, tables)
+    return rows.withColumns({DATE: spec.date(), VERDICT: spec.condition()})
+
+
 def unit_enrolments(tables, spec: UnitSpec) -> DataFrame:
     """The unit's enrolments with what the rules read of their program, all fixed width."""
-    programs = tables["programas"].where(one_of(F.col("idsede"), spec.sites))
+    programs = tables["programas"]
+    if spec.sites:
+        programs = programs.where(one_of(F.col("idsede"), spec.sites))
     if spec.institutions:
         programs = programs.where(one_of(F.col("iduniversidad"), spec.institutions))
     kept = ["ID_PROGRAMA"]
@@ -141,7 +148,7 @@ def _columns(spec: UnitSpec) -> list[Column | str]:
     out += [labels.money(F.col(source)).alias(shown) for shown, source in spec.money.items()]
     out += [
         DATE,
-        "CONDICION_PRODUCTIVIDAD",
+        VERDICT,
         labels.enrolment_state(F.col("estado_ins")).alias("ESTADO_INSCRIPCION"),
     ]
     if spec.agreement:
