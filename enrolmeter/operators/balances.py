@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.schema import TOTAL
+from .star import one_of
 
 ENROLMENT = "inscripcion_id"
 
@@ -45,9 +46,7 @@ class Balance:
         """Test for the plan lines this balance takes; None takes them all."""
         tests = []
         if self.concepts is not None:
-            column = F.col("concepto_pago_id")
-            single = len(self.concepts) == 1
-            tests.append(column == self.concepts[0] if single else column.isin(*self.concepts))
+            tests.append(one_of("concepto_pago_id", self.concepts))
         if self.first_only:
             tests.append(F.col("nro_cuota") == 1)
         return reduce(Column.__and__, tests) if tests else None
@@ -76,7 +75,10 @@ def payments_info(details: DataFrame, receipts: DataFrame) -> DataFrame:
         _active_payments(details)
         .join(_active_receipts(receipts), "pagos_inscripcion_id")
         .groupBy("cuota_id")
-        .agg(F.max("fecha_registro_pago").alias("fecha_pago"), F.max("nro_recibo").alias("nro_recibo"))
+        .agg(
+            F.max("fecha_registro_pago").alias("fecha_pago"),
+            F.max("nro_recibo").alias("nro_recibo"),
+        )
     )
 
 

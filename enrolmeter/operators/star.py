@@ -14,9 +14,14 @@ from pyspark.sql import functions as F
 from ..functions import labels
 
 
-def one_of(column: Column, ids: Sequence[int]) -> Column:
-    """Equality for a single id, membership for several."""
-    return column == ids[0] if len(ids) == 1 else column.isin(*ids)
+def one_of(column: str, ids: Sequence[int]) -> Column:
+    """Equality for a single id, membership for several.
+
+    Written as one SQL expression: a long list costs one call to the JVM, not one per id.
+    """
+    if len(ids) == 1:
+        return F.col(column) == int(ids[0])
+    return F.expr(f"{column} IN ({', '.join(str(int(i)) for i in ids)})")
 
 
 def program_hierarchy(tables) -> DataFrame:
@@ -78,9 +83,9 @@ def program_catalogue(
     if agreement or institutions:
         catalogue = attach_agreement(catalogue, tables)
     if sites:
-        catalogue = catalogue.where(one_of(F.col("ID_SEDE"), sites))
+        catalogue = catalogue.where(one_of("ID_SEDE", sites))
     if institutions:
-        catalogue = catalogue.where(one_of(F.col("ID_INSTITUCION"), institutions))
+        catalogue = catalogue.where(one_of("ID_INSTITUCION", institutions))
     return catalogue
 
 

@@ -80,9 +80,9 @@ def unit_enrolments(tables, spec: UnitSpec) -> DataFrame:
     """The unit's enrolments with what the rules read of their program, all fixed width."""
     programs = tables["programas"]
     if spec.sites:
-        programs = programs.where(one_of(F.col("idsede"), spec.sites))
+        programs = programs.where(one_of("idsede", spec.sites))
     if spec.institutions:
-        programs = programs.where(one_of(F.col("iduniversidad"), spec.institutions))
+        programs = programs.where(one_of("iduniversidad", spec.institutions))
     kept = ["ID_PROGRAMA"]
     unused = [] if spec.created else ["fecha_creacion_inscripcion"]
     if not spec.plan_type:
@@ -102,7 +102,9 @@ def unit_enrolments(tables, spec: UnitSpec) -> DataFrame:
     if spec.course is not None:
         programs = programs.withColumn("ES_CURSO", spec.course())
         kept.append("ES_CURSO")
-    return enrolment_rows(tables).drop(*unused).join(programs.select(*kept), "ID_PROGRAMA")
+    # With nothing to carry over, a semi join also keeps Spark's size estimate sound.
+    how = "left_semi" if kept == ["ID_PROGRAMA"] else "inner"
+    return enrolment_rows(tables).drop(*unused).join(programs.select(*kept), "ID_PROGRAMA", how)
 
 
 def with_balances(tables, spec: UnitSpec, enrolments: DataFrame) -> DataFrame:

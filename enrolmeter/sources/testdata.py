@@ -8,6 +8,9 @@ these, carry a broadcast hint.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +25,22 @@ CATEGORY_NAMES = {1: "Esam Cursos", 2: "Curso Modular"}
 CHARGE_PLANS = ((1, "Plan Contado"), (2, "Plan Credito"), (3, "contado especial"), (4, None))
 PRIORITIES = {"1-URGENT": 1, "2-HIGH": 2, "3-MEDIUM": 3, "4-NOT SPECIFIED": 4}
 CONCEPTS = {0: 1, 1: 2, 2: 8, 3: 17, 4: 18, 5: 27, 6: 133, 7: 311, 8: 312}
-GROUPS, SITES, ADVISER_BASE, RECEIPT_BASE = 22, 135, 1_000_000, 500_000
+GROUPS, SITES = 22, 135
+ADVISER_BASE, RECEIPT_BASE = 1_000_000, 500_000
+STUDENT_DOC_BASE, ADVISER_DOC_BASE = 3_000_000, 5_000_000
+CENT = Decimal("0.01")
+
+# Columns read from the given files. Stating them saves a footer-reading job per file.
+_GIVEN = {
+    "region": "r_regionkey INT, r_name STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_size INT",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_linenumber INT, l_extendedprice DOUBLE, "
+    "l_returnflag STRING, l_shipdate TIMESTAMP_NTZ",
+}
 
 
 def _decode(key: Column, mapping: dict) -> Column:
@@ -33,119 +51,158 @@ def _decode(key: Column, mapping: dict) -> Column:
     return out
 
 
-def derived_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+class DerivedTables(Mapping):
+    """Logical tables by name, each derived when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir = spark, sf_dir
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, table: str) -> DataFrame:
+        if table not in self._built:
+            if table not in SCHEMAS:
+                raise KeyError(table)
+            self._built[table] = conform(getattr(self, f"_{table}")(), table)
+        return self._built[table]
+
+    def __iter__(self):
+        return iter(SCHEMAS)
+
+    def __len__(self) -> int:
+        return len(SCHEMAS)
 
-    part, supplier, orders = read("part"), read("supplier"), read("orders")
-    lineitem, customer = read("lineitem"), read("customer")
+    def _read(self, name: str) -> DataFrame:
+        return self._spark.read.schema(_GIVEN[name]).parquet(f"{self._dir}/{name}.parquet")
 
-    def rows_in(df: DataFrame) -> Column:
-        return df.agg(F.count(F.lit(1))).scalar()
+    def _rows_in(self, name: str) -> Column:
+        return self._read(name).agg(F.count(F.lit(1))).scalar()
 
-    order, key = F.col("o_orderkey"), F.col("p_partkey")
-    line = F.col("l_orderkey") + F.col("l_linenumber")
-    instalment = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    def _residues(self, modulus: int) -> DataFrame:
+        """Residue classes of the part key: never more than ``modulus`` rows."""
+        classes = self._read("part").select((F.col("p_partkey") % modulus).alias("id"))
+        return F.broadcast(classes.distinct())
 
-    built = {
-        "inscripciones": orders.select(
+    def _inscripciones(self) -> DataFrame:
+        order = F.col("o_orderkey")
+        adviser = ADVISER_BASE + order % self._rows_in("supplier")
+        return self._read("orders").select(
             order.alias("id"),
-            (order % rows_in(part)).alias("idprograma"),
+            (order % self._rows_in("part")).alias("idprograma"),
             F.col("o_custkey").alias("idestudiante"),
-            F.when(order % 7 != 0, ADVISER_BASE + order % rows_in(supplier)).alias("idasesor"),
+            F.when(order % 7 != 0, adviser).alias("idasesor"),
             _decode(F.col("o_orderpriority"), PRIORITIES).alias("plan_cobro_programa_id"),
             (order % 7).alias("estado_ins"),
             F.col("o_orderdate").alias("created_at"),
-        ),
-        "programas": part.select(
+        )
+
+    def _programas(self) -> DataFrame:
+        key = F.col("p_partkey")
+        kind = F.when(F.col("p_size") % 3 == 0, "Curso ").otherwise("Programa ")
+        return self._read("part").select(
             key.alias("id"),
             F.concat(F.lit("PRG-"), key.cast("string")).alias("codigo"),
-            F.concat(
-                F.when(F.col("p_size") % 3 == 0, "Curso ").otherwise("Programa "), F.col("p_name")
-            ).alias("nombre_compuesto"),
+            F.concat(kind, F.col("p_name")).alias("nombre_compuesto"),
             (key % GROUPS).alias("idpostgrado"),
             F.coalesce(_decode(key % 54, SITE_OVERRIDES), key % SITES).alias("idsede"),
             F.when(key % 13 != 0, _decode(key % 4, INSTITUTIONS)).alias("iduniversidad"),
-        ),
-        "postgrados": F.broadcast(
-            part.select((key % GROUPS).alias("id"))
-            .distinct()
-            .withColumn("idcategoria", _decode(F.col("id") % 11, GROUP_CATEGORIES))
-        ),
-        "categorias": _literal_rows(
-            spark,
-            [(c, CATEGORY_NAMES.get(c, f"Categoria {c}")) for c in GROUP_CATEGORIES.values()],
-            "categorias",
-        ),
-        "plan_cobros_programa": _literal_rows(spark, CHARGE_PLANS, "plan_cobros_programa"),
-        "plan_pagos": _instalments(lineitem),
-        "detalle_pagos_inscripcion": lineitem.where(line % 5 != 0).select(
-            instalment.alias("cuota_id"),
-            F.col("l_orderkey").alias("pagos_inscripcion_id"),
-            F.col("l_shipdate").alias("fecha_registro_pago"),
-            F.when(F.col("l_returnflag") == "R", 0).otherwise(1).alias("estado"),
-        ),
-        "pagos_inscripcion": orders.select(
+        )
+
+    def _postgrados(self) -> DataFrame:
+        return self._residues(GROUPS).withColumn(
+            "idcategoria", _decode(F.col("id") % 11, GROUP_CATEGORIES)
+        )
+
+    def _categorias(self) -> DataFrame:
+        rows = [(c, CATEGORY_NAMES.get(c, f"Categoria {c}")) for c in GROUP_CATEGORIES.values()]
+        return _literal_rows(self._spark, rows, "categorias")
+
+    def _plan_cobros_programa(self) -> DataFrame:
+        return _literal_rows(self._spark, CHARGE_PLANS, "plan_cobros_programa")
+
+    def _plan_pagos(self) -> DataFrame:
+        """One instalment per (order, line number); repeated lines add up, in whole cents."""
+        order, number = F.col("l_orderkey"), F.col("l_linenumber")
+        k = order + number
+        cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
+        return (
+            self._read("lineitem")
+            .groupBy(order, number)
+            .agg((F.sum(cents).cast("decimal(20,0)") * CENT).cast(AMOUNT).alias("monto"))
+            .select(
+                (order * 10 + number).alias("id"),
+                order.alias("inscripcion_id"),
+                F.when(number == 6, 2).otherwise(1).alias("nro_cuota"),
+                _decode((order + number % 6) % 9, CONCEPTS).alias("concepto_pago_id"),
+                "monto",
+                F.when(k % 97 == 0, None)
+                .when(k % 5 == 0, F.col("monto"))
+                .when(k % 5 == 1, F.lit(100))
+                .otherwise(F.lit(0))
+                .alias("saldo"),
+            )
+        )
+
+    def _detalle_pagos_inscripcion(self) -> DataFrame:
+        order, number = F.col("l_orderkey"), F.col("l_linenumber")
+        return (
+            self._read("lineitem")
+            .where((order + number) % 5 != 0)
+            .select(
+                (order * 10 + number).alias("cuota_id"),
+                order.alias("pagos_inscripcion_id"),
+                F.col("l_shipdate").alias("fecha_registro_pago"),
+                F.when(F.col("l_returnflag") == "R", 0).otherwise(1).alias("estado"),
+            )
+        )
+
+    def _pagos_inscripcion(self) -> DataFrame:
+        order = F.col("o_orderkey")
+        return self._read("orders").select(
             order.alias("id"),
             (order + RECEIPT_BASE).alias("nro_recibo"),
             F.when(F.col("o_orderstatus") == "P", 0).otherwise(1).alias("estado"),
-        ),
-        "personas": customer.select(
-            F.col("c_custkey").alias("id"),
+        )
+
+    def _personas(self) -> DataFrame:
+        student, adviser = F.col("c_custkey"), F.col("s_suppkey")
+        students = self._read("customer").select(
+            student.alias("id"),
             F.lit("Customer").alias("nombres"),
             F.substr("c_name", F.lit(10)).alias("pri_apellido"),
-            F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")).alias("seg_apellido"),
-            (3_000_000 + F.col("c_custkey")).cast("string").alias("num_doc"),
-        ).unionAll(
-            supplier.select(
-                (ADVISER_BASE + F.col("s_suppkey")).alias("id"),
-                F.lit("Supplier").alias("nombres"),
-                F.substr("s_name", F.lit(10)).alias("pri_apellido"),
-                F.lit(None).cast("string").alias("seg_apellido"),
-                (5_000_000 + F.col("s_suppkey")).cast("string").alias("num_doc"),
-            )
-        ),
-        "sedes": F.broadcast(
-            part.select((key % SITES).alias("id"))
-            .distinct()
-            .select(
-                "id",
-                F.concat(F.lit("SEDE "), F.col("id").cast("string")).alias("nombre"),
-                F.when(F.col("id") % 17 != 0, F.col("id") % 5).alias("unidad_negocio"),
-            )
-        ),
-        "unidad_negocio": read("region").select(
+            F.when(student % 3 != 0, F.col("c_mktsegment")).alias("seg_apellido"),
+            (STUDENT_DOC_BASE + student).cast("string").alias("num_doc"),
+        )
+        advisers = self._read("supplier").select(
+            (ADVISER_BASE + adviser).alias("id"),
+            F.lit("Supplier").alias("nombres"),
+            F.substr("s_name", F.lit(10)).alias("pri_apellido"),
+            F.lit(None).cast("string").alias("seg_apellido"),
+            (ADVISER_DOC_BASE + adviser).cast("string").alias("num_doc"),
+        )
+        return students.unionAll(advisers)
+
+    def _sedes(self) -> DataFrame:
+        site = F.col("id")
+        return self._residues(SITES).select(
+            site,
+            F.concat(F.lit("SEDE "), site.cast("string")).alias("nombre"),
+            F.when(site % 17 != 0, site % 5).alias("unidad_negocio"),
+        )
+
+    def _unidad_negocio(self) -> DataFrame:
+        return self._read("region").select(
             F.col("r_regionkey").alias("id"), F.col("r_name").alias("nombre")
-        ),
-        "instituciones": _literal_rows(spark, INSTITUTION_NAMES, "instituciones"),
-    }
-    return {name: conform(df, name) for name, df in built.items()}
+        )
+
+    def _instituciones(self) -> DataFrame:
+        return _literal_rows(self._spark, INSTITUTION_NAMES, "instituciones")
+
+
+def derived_tables(spark: SparkSession, sf_dir: str) -> DerivedTables:
+    return DerivedTables(spark, sf_dir)
 
 
 def _literal_rows(spark: SparkSession, rows, table: str) -> DataFrame:
     """A literal (id, text) table; VALUES gives Spark its exact size, so no hint is needed."""
     values = ", ".join(f"({i}, {'NULL' if text is None else repr(text)})" for i, text in rows)
     return spark.sql(f"SELECT * FROM VALUES {values}").toDF(*SCHEMAS[table].names)
-
-
-def _instalments(lineitem: DataFrame) -> DataFrame:
-    """One instalment per (order, line number); repeated lines add up."""
-    k = F.col("l_orderkey") + F.col("l_linenumber")
-    return (
-        lineitem.groupBy("l_orderkey", "l_linenumber")
-        .agg(F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).cast(AMOUNT).alias("monto"))
-        .select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
-            F.col("l_orderkey").alias("inscripcion_id"),
-            F.when(F.col("l_linenumber") == 6, 2).otherwise(1).alias("nro_cuota"),
-            _decode((F.col("l_orderkey") + F.col("l_linenumber") % 6) % 9, CONCEPTS).alias(
-                "concepto_pago_id"
-            ),
-            "monto",
-            F.when(k % 97 == 0, None)
-            .when(k % 5 == 0, F.col("monto"))
-            .when(k % 5 == 1, F.lit(100))
-            .otherwise(F.lit(0))
-            .alias("saldo"),
-        )
-    )
