@@ -117,7 +117,7 @@ def with_balances(tables, spec: UnitSpec, enrolments: DataFrame) -> DataFrame:
     if spec.by_value is None:
         return balance_totals(lines, spec.balances, enrolments.columns)
     values = balance_by_value(paid_lines(tables, (spec.by_value,), own_lines), spec.by_value, (ID,))
-    has_values = F.max(F.when(spec.by_value.covers(), 1)).alias("has_values")
+    has_values = F.max(F.when(spec.by_value.covers(), 1).otherwise(0)).alias("has_values")
     rows = balance_totals(lines, spec.balances, enrolments.columns, extra=(has_values,))
     return _once_per_value(rows, values)
 
@@ -129,8 +129,8 @@ def _once_per_value(rows: DataFrame, values: DataFrame) -> DataFrame:
     side can be split. So enrolments with values are joined inner, where either side can,
     and those without are added. Both halves read the same shuffled grouping.
     """
-    without = rows.where(F.col("has_values").isNull())
-    matched = rows.where(F.col("has_values").isNotNull()).join(values, ID)
+    without = rows.where(F.col("has_values") == 0)
+    matched = rows.where(F.col("has_values") == 1).join(values, ID)
     return matched.unionByName(without, allowMissingColumns=True).drop("has_values")
 
 

@@ -57,7 +57,14 @@ RANGE_COLUMN = {name: "id" for name in SCHEMAS} | {"detalle_pagos_inscripcion":
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Keep the table's declared columns, in order, in their declared types.
 
-    Casts to the type a column already has vanish in the optimizer, so filters still
-    reach the scan.
+    Columns that already have the type pass through untouched: filters on them reach the
+    scan, and two uses of the table have equal plans, so Spark can reuse their exchanges.
     """
-    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[table]))
+    stored = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(
+        *(
+            f.name if stored.get(f.name) == f.dataType
+            else F.col(f.name).cast(f.dataType).alias(f.name)
+            for f in SCHEMAS[table].fields
+        )
+    )
