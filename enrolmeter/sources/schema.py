@@ -64,7 +64,7 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(
         *(
             f.name if stored.get(f.name) == f.dataType
-            else F.col(f.name).cast(f.dataType).alias(f.name)
+            else F.expr(f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}")
             for f in SCHEMAS[table].fields
         )
     )

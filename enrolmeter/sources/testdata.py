@@ -9,12 +9,11 @@ these, carry a broadcast hint.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .schema import AMOUNT, SCHEMAS, conform
+from .schema import SCHEMAS, conform
 
 # --- fixed values: how test keys map to ids (FIXTURES.md, part 2) ------------------------
 SITE_OVERRIDES = {0: 49, 6: 39, 12: 11, 18: 12, 24: 13, 30: 47, 36: 81, 42: 9, 48: 10}
@@ -28,7 +27,6 @@ CONCEPTS = {0: 1, 1: 2, 2: 8, 3: 17, 4: 18, 5: 27, 6: 133, 7: 311, 8: 312}
 GROUPS, SITES = 22, 135
 ADVISER_BASE, RECEIPT_BASE = 1_000_000, 500_000
 STUDENT_DOC_BASE, ADVISER_DOC_BASE = 3_000_000, 5_000_000
-CENT = Decimal("0.01")
 
 # Columns read from the given files. Stating them saves a footer-reading job per file.
 _GIVEN = {
@@ -43,12 +41,9 @@ _GIVEN = {
 }
 
 
-def _decode(key: Column, mapping: dict) -> Column:
-    (first, value), *rest = mapping.items()
-    out = F.when(key == first, F.lit(value))
-    for code, value in rest:
-        out = out.when(key == code, F.lit(value))
-    return out
+def _decode(key: str, mapping: dict, otherwise: str = "NULL") -> str:
+    arms = " ".join(f"WHEN {code!r} THEN {value!r}" for code, value in mapping.items())
+    return f"CASE {key} {arms} ELSE {otherwise} END"
 
 
 class DerivedTables(Mapping):
@@ -79,38 +74,44 @@ class DerivedTables(Mapping):
 
     def _residues(self, modulus: int) -> DataFrame:
         """Residue classes of the part key: never more than ``modulus`` rows."""
-        classes = self._read("part").select((F.col("p_partkey") % modulus).alias("id"))
-        return F.broadcast(classes.distinct())
+        return F.broadcast(self._read("part").selectExpr(f"p_partkey % {modulus} AS id").distinct())
 
     def _inscripciones(self) -> DataFrame:
         order = F.col("o_orderkey")
-        adviser = ADVISER_BASE + order % self._rows_in("supplier")
-        return self._read("orders").select(
-            order.alias("id"),
-            (order % self._rows_in("part")).alias("idprograma"),
-            F.col("o_custkey").alias("idestudiante"),
-            F.when(order % 7 != 0, adviser).alias("idasesor"),
-            _decode(F.col("o_orderpriority"), PRIORITIES).alias("plan_cobro_programa_id"),
-            (order % 7).alias("estado_ins"),
-            F.col("o_orderdate").alias("created_at"),
+        return (
+            self._read("orders")
+            .withColumns(
+                {
+                    "idprograma": order % self._rows_in("part"),
+                    "adviser": order % self._rows_in("supplier"),
+                }
+            )
+            .selectExpr(
+                "o_orderkey AS id",
+                "idprograma",
+                "o_custkey AS idestudiante",
+                f"IF(o_orderkey % 7 = 0, NULL, {ADVISER_BASE} + adviser) AS idasesor",
+                f"{_decode('o_orderpriority', PRIORITIES)} AS plan_cobro_programa_id",
+                "o_orderkey % 7 AS estado_ins",
+                "o_orderdate AS created_at",
+            )
         )
 
     def _programas(self) -> DataFrame:
-        key = F.col("p_partkey")
-        kind = F.when(F.col("p_size") % 3 == 0, "Curso ").otherwise("Programa ")
-        return self._read("part").select(
-            key.alias("id"),
-            F.concat(F.lit("PRG-"), key.cast("string")).alias("codigo"),
-            F.concat(kind, F.col("p_name")).alias("nombre_compuesto"),
-            (key % GROUPS).alias("idpostgrado"),
-            F.coalesce(_decode(key % 54, SITE_OVERRIDES), key % SITES).alias("idsede"),
-            F.when(key % 13 != 0, _decode(key % 4, INSTITUTIONS)).alias("iduniversidad"),
+        site = _decode("p_partkey % 54", SITE_OVERRIDES, f"p_partkey % {SITES}")
+        partner = _decode("p_partkey % 4", INSTITUTIONS)
+        return self._read("part").selectExpr(
+            "p_partkey AS id",
+            "'PRG-' || CAST(p_partkey AS STRING) AS codigo",
+            "IF(p_size % 3 = 0, 'Curso ', 'Programa ') || p_name AS nombre_compuesto",
+            f"p_partkey % {GROUPS} AS idpostgrado",
+            f"{site} AS idsede",
+            f"IF(p_partkey % 13 = 0, NULL, {partner}) AS iduniversidad",
         )
 
     def _postgrados(self) -> DataFrame:
-        return self._residues(GROUPS).withColumn(
-            "idcategoria", _decode(F.col("id") % 11, GROUP_CATEGORIES)
-        )
+        category = _decode("id % 11", GROUP_CATEGORIES)
+        return self._residues(GROUPS).selectExpr("id", f"{category} AS idcategoria")
 
     def _categorias(self) -> DataFrame:
         rows = [(c, CATEGORY_NAMES.get(c, f"Categoria {c}")) for c in GROUP_CATEGORIES.values()]
@@ -121,78 +122,71 @@ class DerivedTables(Mapping):
 
     def _plan_pagos(self) -> DataFrame:
         """One instalment per (order, line number); repeated lines add up, in whole cents."""
-        order, number = F.col("l_orderkey"), F.col("l_linenumber")
-        k = order + number
-        cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
+        concept = _decode("(l_orderkey + l_linenumber % 6) % 9", CONCEPTS)
         return (
             self._read("lineitem")
-            .groupBy(order, number)
-            .agg((F.sum(cents).cast("decimal(20,0)") * CENT).cast(AMOUNT).alias("monto"))
-            .select(
-                (order * 10 + number).alias("id"),
-                order.alias("inscripcion_id"),
-                F.when(number == 6, 2).otherwise(1).alias("nro_cuota"),
-                _decode((order + number % 6) % 9, CONCEPTS).alias("concepto_pago_id"),
-                "monto",
-                F.when(k % 97 == 0, None)
-                .when(k % 5 == 0, F.col("monto"))
-                .when(k % 5 == 1, F.lit(100))
-                .otherwise(F.lit(0))
-                .alias("saldo"),
+            .groupBy("l_orderkey", "l_linenumber")
+            .agg(F.expr("sum(CAST(rint(l_extendedprice * 100) AS BIGINT)) AS cents"))
+            .selectExpr(
+                "l_orderkey * 10 + l_linenumber AS id",
+                "l_orderkey AS inscripcion_id",
+                "IF(l_linenumber = 6, 2, 1) AS nro_cuota",
+                f"{concept} AS concepto_pago_id",
+                "CAST(CAST(cents AS DECIMAL(20, 0)) * 0.01BD AS DECIMAL(18, 2)) AS monto",
+                "l_orderkey + l_linenumber AS k",
+            )
+            .selectExpr(
+                "*",
+                "CASE WHEN k % 97 = 0 THEN NULL WHEN k % 5 = 0 THEN monto "
+                "WHEN k % 5 = 1 THEN 100 ELSE 0 END AS saldo",
             )
         )
 
     def _detalle_pagos_inscripcion(self) -> DataFrame:
-        order, number = F.col("l_orderkey"), F.col("l_linenumber")
         return (
             self._read("lineitem")
-            .where((order + number) % 5 != 0)
-            .select(
-                (order * 10 + number).alias("cuota_id"),
-                order.alias("pagos_inscripcion_id"),
-                F.col("l_shipdate").alias("fecha_registro_pago"),
-                F.when(F.col("l_returnflag") == "R", 0).otherwise(1).alias("estado"),
+            .where("(l_orderkey + l_linenumber) % 5 <> 0")
+            .selectExpr(
+                "l_orderkey * 10 + l_linenumber AS cuota_id",
+                "l_orderkey AS pagos_inscripcion_id",
+                "l_shipdate AS fecha_registro_pago",
+                "IF(l_returnflag = 'R', 0, 1) AS estado",
             )
         )
 
     def _pagos_inscripcion(self) -> DataFrame:
-        order = F.col("o_orderkey")
-        return self._read("orders").select(
-            order.alias("id"),
-            (order + RECEIPT_BASE).alias("nro_recibo"),
-            F.when(F.col("o_orderstatus") == "P", 0).otherwise(1).alias("estado"),
+        return self._read("orders").selectExpr(
+            "o_orderkey AS id",
+            f"o_orderkey + {RECEIPT_BASE} AS nro_recibo",
+            "IF(o_orderstatus = 'P', 0, 1) AS estado",
         )
 
     def _personas(self) -> DataFrame:
-        student, adviser = F.col("c_custkey"), F.col("s_suppkey")
-        students = self._read("customer").select(
-            student.alias("id"),
-            F.lit("Customer").alias("nombres"),
-            F.substr("c_name", F.lit(10)).alias("pri_apellido"),
-            F.when(student % 3 != 0, F.col("c_mktsegment")).alias("seg_apellido"),
-            (STUDENT_DOC_BASE + student).cast("string").alias("num_doc"),
+        students = self._read("customer").selectExpr(
+            "c_custkey AS id",
+            "'Customer' AS nombres",
+            "substr(c_name, 10) AS pri_apellido",
+            "IF(c_custkey % 3 = 0, NULL, c_mktsegment) AS seg_apellido",
+            f"CAST({STUDENT_DOC_BASE} + c_custkey AS STRING) AS num_doc",
         )
-        advisers = self._read("supplier").select(
-            (ADVISER_BASE + adviser).alias("id"),
-            F.lit("Supplier").alias("nombres"),
-            F.substr("s_name", F.lit(10)).alias("pri_apellido"),
-            F.lit(None).cast("string").alias("seg_apellido"),
-            (ADVISER_DOC_BASE + adviser).cast("string").alias("num_doc"),
+        advisers = self._read("supplier").selectExpr(
+            f"{ADVISER_BASE} + s_suppkey AS id",
+            "'Supplier' AS nombres",
+            "substr(s_name, 10) AS pri_apellido",
+            "CAST(NULL AS STRING) AS seg_apellido",
+            f"CAST({ADVISER_DOC_BASE} + s_suppkey AS STRING) AS num_doc",
         )
         return students.unionAll(advisers)
 
     def _sedes(self) -> DataFrame:
-        site = F.col("id")
-        return self._residues(SITES).select(
-            site,
-            F.concat(F.lit("SEDE "), site.cast("string")).alias("nombre"),
-            F.when(site % 17 != 0, site % 5).alias("unidad_negocio"),
+        return self._residues(SITES).selectExpr(
+            "id",
+            "'SEDE ' || CAST(id AS STRING) AS nombre",
+            "IF(id % 17 = 0, NULL, id % 5) AS unidad_negocio",
         )
 
     def _unidad_negocio(self) -> DataFrame:
-        return self._read("region").select(
-            F.col("r_regionkey").alias("id"), F.col("r_name").alias("nombre")
-        )
+        return self._read("region").selectExpr("r_regionkey AS id", "r_name AS nombre")
 
     def _instituciones(self) -> DataFrame:
         return _literal_rows(self._spark, INSTITUTION_NAMES, "instituciones")
