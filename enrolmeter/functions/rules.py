@@ -94,6 +94,8 @@ def pays_cash() -> Column:
 def _moment(bound: str | datetime) -> Column:
     if isinstance(bound, str):
         bound = datetime.fromisoformat(bound)
+    if bound.tzinfo is not None:
+        raise ValueError("period bounds are local moments; give them without a time zone")
     return F.lit(bound.isoformat(sep=" ")).cast("timestamp_ntz")
 
 

@@ -24,8 +24,19 @@ def one_of(column: str, ids: Sequence[int]) -> Column:
     return F.expr(f"{column} IN ({', '.join(str(int(i)) for i in ids)})")
 
 
+def attach_category(programs: DataFrame, tables) -> DataFrame:
+    """Add the program's category, reached through the postgraduate group."""
+    groups = tables["postgrados"].select(
+        F.col("id").alias("idpostgrado"), F.col("idcategoria").alias("ID_CATEGORIA")
+    )
+    categories = tables["categorias"].select(
+        F.col("id").alias("ID_CATEGORIA"), F.col("nombre").alias("TIPO_PROGRAMA")
+    )
+    return programs.join(groups, "idpostgrado").join(categories, "ID_CATEGORIA")
+
+
 def program_hierarchy(tables) -> DataFrame:
-    """Programs with their category, reached through the postgraduate group."""
+    """Programs under report names, with their category."""
     programs = tables["programas"].select(
         F.col("id").alias("ID_PROGRAMA"),
         F.col("codigo").alias("COD_CONTABLE"),
@@ -34,13 +45,7 @@ def program_hierarchy(tables) -> DataFrame:
         F.col("idsede").alias("ID_SEDE"),
         F.col("iduniversidad").alias("ID_INSTITUCION"),
     )
-    groups = tables["postgrados"].select(
-        F.col("id").alias("idpostgrado"), F.col("idcategoria").alias("ID_CATEGORIA")
-    )
-    categories = tables["categorias"].select(
-        F.col("id").alias("ID_CATEGORIA"), F.col("nombre").alias("TIPO_PROGRAMA")
-    )
-    return programs.join(groups, "idpostgrado").join(categories, "ID_CATEGORIA")
+    return attach_category(programs, tables)
 
 
 def attach_site(programs: DataFrame, tables) -> DataFrame:

@@ -15,6 +15,7 @@ Each fact table is scanned and shuffled once per report:
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +25,7 @@ from ..functions import labels
 from ..functions.rules import within_period
 from ..operators.balances import ENROLMENT, balance_by_value, balance_totals, paid_lines
 from ..operators.star import (
+    attach_category,
     attach_people,
     attach_plan_type,
     enrolment_rows,
@@ -83,25 +85,19 @@ def unit_enrolments(tables, spec: UnitSpec) -> DataFrame:
         programs = programs.where(one_of("idsede", spec.sites))
     if spec.institutions:
         programs = programs.where(one_of("iduniversidad", spec.institutions))
-    kept = ["ID_PROGRAMA"]
-    unused = [] if spec.created else ["fecha_creacion_inscripcion"]
-    if not spec.plan_type:
-        unused.append("plan_cobro_programa_id")
     programs = programs.select(
         F.col("id").alias("ID_PROGRAMA"), F.col("nombre_compuesto").alias("PROGRAMA"), "idpostgrado"
     )
+    kept = ["ID_PROGRAMA"]
     if spec.category:
-        groups = tables["postgrados"].select(
-            F.col("id").alias("idpostgrado"), F.col("idcategoria").alias("ID_CATEGORIA")
-        )
-        categories = tables["categorias"].select(
-            F.col("id").alias("ID_CATEGORIA"), F.col("nombre").alias("TIPO_PROGRAMA")
-        )
-        programs = programs.join(groups, "idpostgrado").join(categories, "ID_CATEGORIA")
+        programs = attach_category(programs, tables)
         kept.append("ID_CATEGORIA")
     if spec.course is not None:
         programs = programs.withColumn("ES_CURSO", spec.course())
         kept.append("ES_CURSO")
+    unused = [] if spec.created else ["fecha_creacion_inscripcion"]
+    if not spec.plan_type:
+        unused.append("plan_cobro_programa_id")
     # With nothing to carry over, a semi join also keeps Spark's size estimate sound.
     how = "left_semi" if kept == ["ID_PROGRAMA"] else "inner"
     return enrolment_rows(tables).drop(*unused).join(programs.select(*kept), "ID_PROGRAMA", how)
@@ -112,14 +108,19 @@ def with_balances(tables, spec: UnitSpec, enrolments: DataFrame) -> DataFrame:
 
     One without any has no payment date, and the period filter drops it in any case.
     """
-    own_lines = tables["plan_pagos"].withColumnRenamed(ENROLMENT, ID).join(enrolments, ID)
-    lines = paid_lines(tables, spec.balances, own_lines)
+    lines = paid_lines(tables, spec.balances, _lines_of(tables, enrolments))
     if spec.by_value is None:
         return balance_totals(lines, spec.balances, enrolments.columns)
-    values = balance_by_value(paid_lines(tables, (spec.by_value,), own_lines), spec.by_value, (ID,))
     has_values = F.max(F.when(spec.by_value.covers(), 1).otherwise(0)).alias("has_values")
     rows = balance_totals(lines, spec.balances, enrolments.columns, extra=(has_values,))
-    return _once_per_value(rows, values)
+    # The values need only the enrolments' ids: no category, no course flag.
+    bare = unit_enrolments(tables, replace(spec, category=False, course=None)).select(ID)
+    lines = paid_lines(tables, (spec.by_value,), _lines_of(tables, bare))
+    return _once_per_value(rows, balance_by_value(lines, spec.by_value, (ID,)))
+
+
+def _lines_of(tables, enrolments: DataFrame) -> DataFrame:
+    return tables["plan_pagos"].withColumnRenamed(ENROLMENT, ID).join(enrolments, ID)
 
 
 def _once_per_value(rows: DataFrame, values: DataFrame) -> DataFrame:
@@ -138,7 +139,10 @@ def _order(spec: UnitSpec) -> list[Column]:
     by_id = F.col(ID).asc()
     if spec.order_by_date_of is None:
         return [by_id]
-    return [F.col(f"{spec.order_by_date_of}_fecha").asc_nulls_first(), by_id]
+    # The date leaves ties open; the rest settles them, one enrolment's values included.
+    dated = spec.order_by_date_of
+    ties = [F.col(f"{dated}_{m}").asc_nulls_first() for m in ("monto", "saldo")]
+    return [F.col(f"{dated}_fecha").asc_nulls_first(), by_id, *ties]
 
 
 def _columns(spec: UnitSpec) -> list[Column | str]:

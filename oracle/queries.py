@@ -221,7 +221,8 @@ POSTGRADUATE = Unit(
     },
     course=_flag(_IS_NAMED_COURSE),
     created=True,
-    order="tuition.fecha NULLS FIRST, ID_INSCRIPCION",
+    order="tuition.fecha NULLS FIRST, ID_INSCRIPCION, tuition.monto NULLS FIRST, "
+    "tuition.saldo NULLS FIRST",
 )
 
 INITIAL_FEE = Unit(

@@ -190,3 +190,8 @@ def test_open_period_ends_at_as_of_or_now(spark):
     assert row.where(rules.within_period(F.col("later"), start)).isEmpty()
     assert not row.where(rules.within_period(F.col("earlier"), start)).isEmpty()
     assert row.where(rules.within_period(F.col("earlier"), start, as_of="2021-01-01")).isEmpty()
+
+
+def test_period_bounds_carry_no_zone(spark):
+    with pytest.raises(ValueError):
+        rules.within_period(F.col("d"), "2026-01-01T00:00:00+00:00")
