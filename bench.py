@@ -21,7 +21,7 @@ from oracle import oracle_queries
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+RUNS = int(os.environ.get("BENCH_RUNS", "1"))
 GIVEN = ("region", "customer", "supplier", "part", "orders", "lineitem")
 
 

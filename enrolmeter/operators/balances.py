@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.schema import TOTAL
+from ..sources.tables import Tables
 from .star import one_of
 
 ENROLMENT = "inscripcion_id"
@@ -186,7 +187,7 @@ def balance_by_value(
 
 
 def reduced_payments(
-    tables, balances: Sequence[Balance], receipt: bool = False
+    tables: Tables, balances: Sequence[Balance], receipt: bool = False
 ) -> DataFrame | None:
     """The payment side the balances ask for, or None if they ask for none."""
     modes = {b.payments for b in balances} - {"none"}
@@ -201,7 +202,7 @@ def reduced_payments(
 
 
 def paid_lines(
-    tables, balances: Sequence[Balance], lines: DataFrame | None = None, receipt: bool = False
+    tables: Tables, balances: Sequence[Balance], lines: DataFrame | None = None, receipt: bool = False
 ) -> DataFrame:
     """Lines the balances take, each with its reduced payments where they count.
 
@@ -212,6 +213,6 @@ def paid_lines(
     return taken if payments is None else attach_payments(taken, payments)
 
 
-def enrolment_balances(tables, *balances: Balance, receipt: bool = False) -> DataFrame:
+def enrolment_balances(tables: Tables, *balances: Balance, receipt: bool = False) -> DataFrame:
     """Balances of every enrolment that has a line in one of them."""
     return balance_totals(paid_lines(tables, balances, receipt=receipt), balances, receipt=receipt)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels
+from ..sources.tables import Tables
 
 
 def one_of(column: str, ids: Sequence[int]) -> Column:
@@ -24,7 +25,7 @@ def one_of(column: str, ids: Sequence[int]) -> Column:
     return F.expr(f"{column} IN ({', '.join(str(int(i)) for i in ids)})")
 
 
-def attach_category(programs: DataFrame, tables) -> DataFrame:
+def attach_category(programs: DataFrame, tables: Tables) -> DataFrame:
     """Add the program's category, reached through the postgraduate group."""
     groups = tables["postgrados"].select(
         F.col("id").alias("idpostgrado"), F.col("idcategoria").alias("ID_CATEGORIA")
@@ -35,7 +36,7 @@ def attach_category(programs: DataFrame, tables) -> DataFrame:
     return programs.join(groups, "idpostgrado").join(categories, "ID_CATEGORIA")
 
 
-def program_hierarchy(tables) -> DataFrame:
+def program_hierarchy(tables: Tables) -> DataFrame:
     """Programs under report names, with their category."""
     programs = tables["programas"].select(
         F.col("id").alias("ID_PROGRAMA"),
@@ -48,7 +49,7 @@ def program_hierarchy(tables) -> DataFrame:
     return attach_category(programs, tables)
 
 
-def attach_site(programs: DataFrame, tables) -> DataFrame:
+def attach_site(programs: DataFrame, tables: Tables) -> DataFrame:
     """Add site and business unit; a site without a unit keeps a NULL unit."""
     sites = tables["sedes"].select(
         F.col("id").alias("ID_SEDE"), F.col("nombre").alias("SEDE"), "unidad_negocio"
@@ -59,7 +60,7 @@ def attach_site(programs: DataFrame, tables) -> DataFrame:
     return programs.join(sites, "ID_SEDE").join(units, "unidad_negocio", "left")
 
 
-def attach_agreement(programs: DataFrame, tables) -> DataFrame:
+def attach_agreement(programs: DataFrame, tables: Tables) -> DataFrame:
     """Add the partner institution's label. ``ID_INSTITUCION`` becomes the id found there,
     so a program pointing at no known institution has none."""
     partners = tables["instituciones"].select(
@@ -74,7 +75,7 @@ def attach_agreement(programs: DataFrame, tables) -> DataFrame:
 
 
 def program_catalogue(
-    tables,
+    tables: Tables,
     sites: Sequence[int] | None = None,
     institutions: Sequence[int] | None = None,
     agreement: bool = True,
@@ -94,7 +95,7 @@ def program_catalogue(
     return catalogue
 
 
-def enrolment_rows(tables) -> DataFrame:
+def enrolment_rows(tables: Tables) -> DataFrame:
     """Enrolments under report names: fixed-width columns only, so they shuffle cheaply."""
     return tables["inscripciones"].select(
         F.col("id").alias("ID_INSCRIPCION"),
@@ -107,7 +108,7 @@ def enrolment_rows(tables) -> DataFrame:
     )
 
 
-def attach_plan_type(enrolments: DataFrame, tables) -> DataFrame:
+def attach_plan_type(enrolments: DataFrame, tables: Tables) -> DataFrame:
     """Add cash or credit from the charge plan's name."""
     plans = tables["plan_cobros_programa"].select(
         F.col("id").alias("plan_cobro_programa_id"), F.col("nombre").alias("plan_nombre")
@@ -119,7 +120,7 @@ def attach_plan_type(enrolments: DataFrame, tables) -> DataFrame:
     )
 
 
-def attach_people(enrolments: DataFrame, tables) -> DataFrame:
+def attach_people(enrolments: DataFrame, tables: Tables) -> DataFrame:
     """Add the student (required) and the adviser (optional), two roles of one table.
 
     Advisers repeat, so one may hold a large share of the enrolments, and so may 'none'.
@@ -142,7 +143,7 @@ def attach_people(enrolments: DataFrame, tables) -> DataFrame:
 
 
 def enrolment_base(
-    tables,
+    tables: Tables,
     sites: Sequence[int] | None = None,
     institutions: Sequence[int] | None = None,
 ) -> DataFrame:

@@ -32,6 +32,7 @@ from ..operators.star import (
     one_of,
     program_catalogue,
 )
+from ..sources.tables import Tables
 from ..specs import UnitSpec
 
 ID = "ID_INSCRIPCION"
@@ -44,7 +45,7 @@ HEAD = (
 
 
 def run(
-    tables,
+    tables: Tables,
     spec: UnitSpec,
     start: str | datetime,
     end: str | datetime | None = None,
@@ -67,7 +68,7 @@ def run(
     return rows.select(*_columns(spec))
 
 
-def rated(tables, spec: UnitSpec) -> DataFrame:
+def rated(tables: Tables, spec: UnitSpec) -> DataFrame:
     """The unit's enrolments with balances, productivity date and verdict, of any period.
 
     A spec with no sites takes the enrolments of every site.
@@ -78,7 +79,7 @@ def rated(tables, spec: UnitSpec) -> DataFrame:
     return rows.withColumns({DATE: spec.date(), VERDICT: spec.condition()})
 
 
-def unit_enrolments(tables, spec: UnitSpec) -> DataFrame:
+def unit_enrolments(tables: Tables, spec: UnitSpec) -> DataFrame:
     """The unit's enrolments with what the rules read of their program, all fixed width."""
     programs = tables["programas"]
     if spec.sites:
@@ -103,7 +104,7 @@ def unit_enrolments(tables, spec: UnitSpec) -> DataFrame:
     return enrolment_rows(tables).drop(*unused).join(programs.select(*kept), "ID_PROGRAMA", how)
 
 
-def with_balances(tables, spec: UnitSpec, enrolments: DataFrame) -> DataFrame:
+def with_balances(tables: Tables, spec: UnitSpec, enrolments: DataFrame) -> DataFrame:
     """Enrolments that have a line in one of the unit's balances, with those balances.
 
     One without any has no payment date, and the period filter drops it in any case.
@@ -119,7 +120,7 @@ def with_balances(tables, spec: UnitSpec, enrolments: DataFrame) -> DataFrame:
     return _once_per_value(rows, balance_by_value(lines, spec.by_value, (ID,)))
 
 
-def _lines_of(tables, enrolments: DataFrame) -> DataFrame:
+def _lines_of(tables: Tables, enrolments: DataFrame) -> DataFrame:
     return tables["plan_pagos"].withColumnRenamed(ENROLMENT, ID).join(enrolments, ID)
 
 
