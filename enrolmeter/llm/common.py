@@ -42,6 +42,29 @@ def lines_of(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row.
+
+    A column used inside a lambda is otherwise computed again for every element.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def without_lines(text: Column, dropped: Column) -> Column:
+    """The text without the lines at the positions ``dropped`` (ascending; null: none).
+
+    Takes the stretches between dropped positions, so it is linear however many there are.
+    """
+    after = F.concat(F.array(F.lit(0)), F.transform(dropped, lambda p: p + 1))
+
+    def kept(lines: Column) -> Column:
+        until = F.concat(dropped, F.array(F.size(lines)))
+        stretches = F.zip_with(after, until, lambda a, u: F.slice(lines, a + 1, u - a))
+        return F.array_join(F.flatten(stretches), "\n")
+
+    return F.when(dropped.isNull(), text).otherwise(let(lines_of(text), kept))
+
+
 def words_of(text: Column) -> Column:
     """Runs of anything but the six white-space characters; an empty array without any."""
     inner = stripped(text)

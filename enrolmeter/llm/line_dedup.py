@@ -30,7 +30,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import (
-    hash_pair, hex_sha256, lines_of, lower_ascii, scratch, stripped, table, text_of, without, written,
+    hash_pair, hex_sha256, lines_of, lower_ascii, scratch, stripped, table, text_of, without, without_lines,
+    written,
 )
 
 HASH = ["h1", "h2"]
@@ -147,16 +148,11 @@ def dedup_lines(
         "left",
     )
     text, dropped = F.col("full.text"), F.col("dropped")
-    lines_in = lines_of(text)
-    after = F.concat(F.array(F.lit(0)), F.transform(dropped, lambda p: p + 1))
-    until = F.concat(dropped, F.array(F.size(lines_in)))
-    stretches = F.zip_with(after, until, lambda a, u: F.slice(lines_in, a + 1, u - a))
-    kept = F.when(dropped.isNull(), text).otherwise(F.array_join(F.flatten(stretches), "\n"))
     others = [f"row.{c}" for c in without(docs, "text", "n_lines", "n_dropped")]
     return met.select(
         *others,
-        kept.alias("text"),
-        F.size(lines_in).cast("long").alias("n_lines"),
+        without_lines(text, dropped).alias("text"),
+        F.size(lines_of(text)).cast("long").alias("n_lines"),
         F.coalesce(F.size(dropped), F.lit(0)).cast("long").alias("n_dropped"),
     )
 

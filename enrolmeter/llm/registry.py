@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import line_dedup
+from . import line_dedup, quality_rules
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op9_quality_rules": quality_rules.op9_quality_rules,
 }
 ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE,
+    "op9_quality_rules": quality_rules.ORACLE,
 }
