@@ -25,8 +25,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import (
-    SPACE_RUN, hash_pair, let, lines_of, lower_ascii, stripped, table, text_of, without, without_lines,
-    words_of,
+    SPACE_RUN, hash_pair, let, lines_of, lower_ascii, scratch, stripped, table, text_of, without,
+    without_lines, words_of, written,
 )
 
 #: Fixed value: the characters that count as symbols.
@@ -135,6 +135,8 @@ def boilerplate(docs: DataFrame, host: str = "source", line_limit: int = 50) ->
         .where(F.col("n_docs") > line_limit)
         .select(F.col("host").alias("f_host"), F.col("h1").alias("f1"), F.col("h2").alias("f2"))
     )
+    # A table, not an aggregate, beside the join: then a hot line's partition may be split.
+    frequent = written(frequent, scratch(docs.sparkSession, "frequent-lines"))
     same = (
         (F.col("h1") == F.col("f1"))
         & (F.col("h2") == F.col("f2"))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import line_dedup, quality_rules
+from . import chat_format, line_dedup, mixing, quality_rules
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op2_chat_format": chat_format.op2_chat_format,
+    "op7_mix_sources": mixing.op7_mix_sources,
     "op9_quality_rules": quality_rules.op9_quality_rules,
 }
 ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE,
+    "op2_chat_format": chat_format.ORACLE,
+    "op7_mix_sources": mixing.ORACLE,
     "op9_quality_rules": quality_rules.ORACLE,
 }
