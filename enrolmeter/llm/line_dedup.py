@@ -133,6 +133,8 @@ def dedup_lines(
         runs.add(lines.where(F.col("batch") == number))
 
     frequent = runs.merged().where(F.col("n_docs") >= limit).select(*HASH, "last_doc")
+    # A table, not an aggregate, beside the join: then a hot line's partition may be split.
+    frequent = written(frequent, f"{folder}/frequent")
     drops = (
         lines.drop("batch").join(frequent, HASH)
         .where(F.col("doc_id") != F.col("last_doc"))

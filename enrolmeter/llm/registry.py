@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from . import chat_format, line_dedup, mixing, quality_rules
+from . import chat_format, license_scan, line_dedup, mixing, quality_rules
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_chat_format": chat_format.op2_chat_format,
+    "op4_license_scan": license_scan.op4_license_scan,
     "op7_mix_sources": mixing.op7_mix_sources,
     "op9_quality_rules": quality_rules.op9_quality_rules,
 }
 ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE,
     "op2_chat_format": chat_format.ORACLE,
+    "op4_license_scan": license_scan.ORACLE,
     "op7_mix_sources": mixing.ORACLE,
     "op9_quality_rules": quality_rules.ORACLE,
 }
