@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, chat_format, license_scan, line_dedup, mixing, quality_rules
+from . import bpe, chat_format, license_scan, line_dedup, mixing, quality_net, quality_rules
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_chat_format": chat_format.op2_chat_format,
     "op4_license_scan": license_scan.op4_license_scan,
+    "op5_quality_net": quality_net.op5_quality_net,
     "op7_mix_sources": mixing.op7_mix_sources,
     "op8_byte_bpe": bpe.op8_byte_bpe,
     "op9_quality_rules": quality_rules.op9_quality_rules,
