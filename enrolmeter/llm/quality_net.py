@@ -3,7 +3,7 @@
 A text's UTF-8 bytes are cut into chunks of ``CHUNK`` positions that overlap by the filter
 width less one, so every window of the whole text is seen once. Each of ``FILTERS`` learned
 filters has a weight for every byte at each of its ``WIDTH`` places; its largest value in a chunk
-is the chunk's feature. Mean, maximum and minimum of the features over the chunks go through one
+is the chunk's feature, and the logarithm of its filled bytes is one more. Mean, maximum and minimum of the features over the chunks go through one
 hidden layer to a single probability. A chunk of a few words repeated excites fewer filters than
 prose does, so repetition shows as well as odd characters do.
 
@@ -36,6 +36,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from .common import table, text_of, without
 
 CHUNK, WIDTH, FILTERS, HIDDEN = 512, 6, 20, 16
+LANES = FILTERS + 1
 PAD = 256
 TRAIN_DOCS, TRAIN_CHUNKS = 1000, 16
 SCORE_CHUNKS = 256
@@ -72,7 +73,7 @@ class ByteNet:
     @classmethod
     def fresh(cls, rng: np.random.Generator) -> ByteNet:
         filters = rng.normal(0, 0.3, (WIDTH, PAD + 1, FILTERS)).astype(np.float32)
-        hidden = rng.normal(0, 0.15, (3 * FILTERS, HIDDEN)).astype(np.float32)
+        hidden = rng.normal(0, 0.15, (3 * LANES, HIDDEN)).astype(np.float32)
         out = rng.normal(0, 0.3, HIDDEN).astype(np.float32)
         net = cls(filters, hidden, np.zeros(HIDDEN, np.float32), out, np.zeros(1, np.float32))
         return net.masked()
@@ -98,7 +99,13 @@ class ByteNet:
             self.responses(chunks[i : i + SCORE_CHUNKS]).max(axis=1)
             for i in range(0, len(chunks), SCORE_CHUNKS)
         ]
-        return np.maximum(np.concatenate(parts), -8)
+        return self.with_fill(np.maximum(np.concatenate(parts), -8), chunks)
+
+    @staticmethod
+    def with_fill(features: np.ndarray, chunks: np.ndarray) -> np.ndarray:
+        """A short text excites few filters as well: how full its chunk is tells it apart."""
+        filled = (chunks[:, :CHUNK] != PAD).sum(axis=1)
+        return np.column_stack([features, (np.log1p(filled) / 3).astype(np.float32)])
 
     def logits(self, features: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Raw output of texts whose chunks begin at ``starts``."""
@@ -120,7 +127,7 @@ class ByteNet:
         responses = self.responses(chunks)
         where = responses.argmax(axis=1)
         raw = np.take_along_axis(responses, where[:, None], axis=1)[:, 0]
-        features = np.maximum(raw, -8)
+        features = self.with_fill(np.maximum(raw, -8), chunks)
         counts = np.diff(np.append(starts, len(chunks)))
         owner = np.repeat(np.arange(len(starts)), counts)
         mean = np.add.reduceat(features, starts) / counts[:, None]
@@ -135,7 +142,7 @@ class ByteNet:
         d_features = d_mean[owner] / counts[owner, None]
         d_features += d_most[owner] * (features == most[owner])
         d_features += d_least[owner] * (features == least[owner])
-        d_features *= raw > -8
+        d_features = d_features[:, :FILTERS] * (raw > -8)
         d_filters = np.zeros_like(self.filters)
         rows, lane = np.arange(len(chunks))[:, None], np.arange(FILTERS)[None]
         for k in range(WIDTH):
