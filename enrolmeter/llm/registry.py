@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, chat_format, license_scan, line_dedup, mixing, quality_net, quality_rules
+from . import bpe, chat_format, license_scan, line_dedup, mixing, pivot_topk, quality_net, quality_rules
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_chat_format": chat_format.op2_chat_format,
     "op4_license_scan": license_scan.op4_license_scan,
     "op5_quality_net": quality_net.op5_quality_net,
+    "op6_pivot_topk": pivot_topk.op6_pivot_topk,
     "op7_mix_sources": mixing.op7_mix_sources,
     "op8_byte_bpe": bpe.op8_byte_bpe,
     "op9_quality_rules": quality_rules.op9_quality_rules,
@@ -17,6 +18,7 @@ ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE,
     "op2_chat_format": chat_format.ORACLE,
     "op4_license_scan": license_scan.ORACLE,
+    "op6_pivot_topk": pivot_topk.ORACLE,
     "op7_mix_sources": mixing.ORACLE,
     "op9_quality_rules": quality_rules.ORACLE,
 }
