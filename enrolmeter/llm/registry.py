@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat_format, license_scan, line_dedup, mixing, pivot_topk, quality_net, quality_rules
+from . import bpe, chat_format, license_scan, line_dedup, minmax_dedup, mixing, pivot_topk, quality_net, quality_rules
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_mix_sources": mixing.op7_mix_sources,
     "op8_byte_bpe": bpe.op8_byte_bpe,
     "op9_quality_rules": quality_rules.op9_quality_rules,
+    "op10_minmax_dedup": minmax_dedup.op10_minmax_dedup,
 }
 ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE,
