@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, chat_format, license_scan, line_dedup, minmax_dedup, mixing, pivot_topk, quality_net, quality_rules
+from . import bpe, chat_format, license_scan, line_dedup, minmax_dedup, mixing, pii, pivot_topk, quality_net, quality_rules
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_chat_format": chat_format.op2_chat_format,
+    "op3_pii": pii.op3_pii,
     "op4_license_scan": license_scan.op4_license_scan,
     "op5_quality_net": quality_net.op5_quality_net,
     "op6_pivot_topk": pivot_topk.op6_pivot_topk,
