@@ -1,4 +1,4 @@
-"""Enrolment-productivity reports as Spark DataFrames."""
+"""Enrolment reports as Spark DataFrames."""
 
 from .plans.report import run as report
 from .sources import catalog_tables, jdbc_tables, load_tables

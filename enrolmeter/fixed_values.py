@@ -10,12 +10,13 @@ POSTGRADUATE_SITES = (
     50, 51, 52, 80, 125, 127, 128, 129, 132,
 )
 INITIAL_FEE_SITES = (24, 27, 28, 29, 30, 31, 32, 33, 42, 53, 107)
-PARTNER_OWN_SITES = (
-    82, 86, 87, 88, 89, 90, 91, 92, 93, 94, 95, 96, 97, 98, 99, 100,
-    102, 103, 104, 105, 106, 108, 109, 115, 116, 117, 118, 119, 120,
-    121, 122, 123, 124, 126,
+PARTNER_SITES = (
+    1, 2, 3, 4, 5, 6, 7, 8, 14, 15, 16, 18, 20, 22, 23, 24, 25, 26, 27,
+    28, 29, 30, 31, 32, 33, 37, 42, 50, 51, 52, 53, 80, 82, 86, 87, 88,
+    89, 90, 91, 92, 93, 94, 95, 96, 97, 98, 99, 100, 102, 103, 104, 105,
+    106, 107, 108, 109, 115, 116, 117, 118, 119, 120, 121, 122, 123,
+    124, 125, 126, 127, 128, 129, 132, 134,
 )
-PARTNER_EXTRA_POSTGRADUATE_SITE = 134
 INSTITUTE_SITES = (49,)
 CAREER_SITES = (9, 10, 48, 79)
 KIDS_SITES = (11, 12, 13, 47, 81)

@@ -33,7 +33,11 @@ def flag(test: Column) -> Column:
     return F.when(test, 1).otherwise(0)
 
 
-def course_by_category_name(name: Column) -> Column:
+def course_by_category_name(name: Column, ignore_case: bool = False) -> Column:
+    """Is the category one of the course categories? Exact by default; ``ignore_case`` compares
+    as a database with a case-insensitive collation does."""
+    if ignore_case:
+        return flag(F.upper(name).isin(*(n.upper() for n in V.COURSE_CATEGORY_NAMES)))
     return flag(name.isin(*V.COURSE_CATEGORY_NAMES))
 
 

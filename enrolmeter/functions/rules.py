@@ -1,4 +1,4 @@
-"""Rules that decide the productivity date and the enrolled / not enrolled verdict.
+"""Rules for the deciding payment date and the enrolled / not enrolled verdict.
 
 A rule reads balance columns by the balance's name: ``<name>_fecha`` (last payment) and
 ``<name>_saldo`` (amount outstanding). Each rule is one Column, computed once per report
@@ -40,7 +40,7 @@ def verdict(test: Column) -> Column:
     return F.when(test, V.ENROLLED).otherwise(V.NOT_ENROLLED)
 
 
-# --- productivity dates ------------------------------------------------------------------
+# --- deciding dates ------------------------------------------------------------------
 
 
 def first_known(*dates: Column) -> Column:

@@ -42,6 +42,8 @@ class Balance:
     def __post_init__(self):
         if self.payments not in ("dedup", "raw", "none"):
             raise ValueError(f"unknown payment mode {self.payments!r}")
+        if self.concepts is not None and not self.concepts:
+            raise ValueError(f"balance {self.name!r} has no concepts: None stands for all")
 
     def covers(self) -> Column | None:
         """Test for the plan lines this balance takes; None takes them all."""

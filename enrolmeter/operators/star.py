@@ -20,6 +20,8 @@ def one_of(column: str, ids: Sequence[int]) -> Column:
 
     Written as one SQL expression: a long list costs one call to the JVM, not one per id.
     """
+    if not ids:
+        raise ValueError(f"no ids for {column}: an empty list selects nothing, None stands for all")
     if len(ids) == 1:
         return F.col(column) == int(ids[0])
     return F.expr(f"{column} IN ({', '.join(str(int(i)) for i in ids)})")
@@ -86,11 +88,11 @@ def program_catalogue(
     partners are asked for, and infers both filters onto the program scan.
     """
     catalogue = attach_site(program_hierarchy(tables), tables)
-    if agreement or institutions:
+    if agreement or institutions is not None:
         catalogue = attach_agreement(catalogue, tables)
-    if sites:
+    if sites is not None:
         catalogue = catalogue.where(one_of("ID_SEDE", sites))
-    if institutions:
+    if institutions is not None:
         catalogue = catalogue.where(one_of("ID_INSTITUCION", institutions))
     return catalogue
 

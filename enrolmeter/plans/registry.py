@@ -278,7 +278,7 @@ def month_name(t):
 
 
 def _everywhere(t, spec):
-    return rated(t, replace(spec, sites=(), institutions=None))
+    return rated(t, replace(spec, sites=None, institutions=None))
 
 
 @_query

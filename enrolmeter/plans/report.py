@@ -36,8 +36,8 @@ from ..sources.tables import Tables
 from ..specs import UnitSpec
 
 ID = "ID_INSCRIPCION"
-DATE = "FECHA_PAGO_PRODUCTIVIDAD"
-VERDICT = "CONDICION_PRODUCTIVIDAD"
+DATE = "FECHA_PAGO_DECISIVA"
+VERDICT = "CONDICION_INSCRITO"
 HEAD = (
     "UNIDAD", "SEDE", "ASESOR", "CI_ASESOR", "ALUMNO", "CI_ALUMNO",
     "TIPO_PROGRAMA", ID, "COD_CONTABLE", "PROGRAMA", "ID_PROGRAMA",
@@ -56,7 +56,7 @@ def run(
 
     ``ordered=False`` leaves out the final global sort, for callers that store the result.
     """
-    rows = rated(tables, spec).where(within_period(F.col(DATE), start, end, as_of))
+    rows = rated(tables, spec, complete=False).where(within_period(F.col(DATE), start, end, as_of))
     if spec.plan_type and not spec.plan_in_rule:
         rows = attach_plan_type(rows, tables)
     catalogue = program_catalogue(tables, spec.sites, spec.institutions, spec.agreement)
@@ -68,12 +68,13 @@ def run(
     return rows.select(*_columns(spec))
 
 
-def rated(tables: Tables, spec: UnitSpec) -> DataFrame:
-    """The unit's enrolments with balances, productivity date and verdict, of any period.
+def rated(tables: Tables, spec: UnitSpec, complete: bool = True) -> DataFrame:
+    """The unit's enrolments with balances, deciding date and verdict, of any period.
 
-    A spec with no sites takes the enrolments of every site.
+    ``complete=False`` leaves out enrolments without a line in any of the unit's balances.
+    They have no date, so that a period filter would drop them in any case.
     """
-    rows = with_balances(tables, spec, unit_enrolments(tables, spec))
+    rows = with_balances(tables, spec, unit_enrolments(tables, spec), complete)
     if spec.plan_in_rule:
         rows = attach_plan_type(rows, tables)
     return rows.withColumns({DATE: spec.date(), VERDICT: spec.condition()})
@@ -82,9 +83,9 @@ def rated(tables: Tables, spec: UnitSpec) -> DataFrame:
 def unit_enrolments(tables: Tables, spec: UnitSpec) -> DataFrame:
     """The unit's enrolments with what the rules read of their program, all fixed width."""
     programs = tables["programas"]
-    if spec.sites:
+    if spec.sites is not None:
         programs = programs.where(one_of("idsede", spec.sites))
-    if spec.institutions:
+    if spec.institutions is not None:
         programs = programs.where(one_of("iduniversidad", spec.institutions))
     programs = programs.select(
         F.col("id").alias("ID_PROGRAMA"), F.col("nombre_compuesto").alias("PROGRAMA"), "idpostgrado"
@@ -104,16 +105,30 @@ def unit_enrolments(tables: Tables, spec: UnitSpec) -> DataFrame:
     return enrolment_rows(tables).drop(*unused).join(programs.select(*kept), "ID_PROGRAMA", how)
 
 
-def with_balances(tables: Tables, spec: UnitSpec, enrolments: DataFrame) -> DataFrame:
-    """Enrolments that have a line in one of the unit's balances, with those balances.
+def with_balances(
+    tables: Tables, spec: UnitSpec, enrolments: DataFrame, complete: bool = True
+) -> DataFrame:
+    """Enrolments with the unit's balances: all of them, or those with a line in one.
 
-    One without any has no payment date, and the period filter drops it in any case.
+    All of them meet balances that are grouped by the id alone, one row each, so that an
+    enrolment with very many lines is reduced before the outer join, which could not split it.
     """
-    lines = paid_lines(tables, spec.balances, _lines_of(tables, enrolments))
+    has_values = []
+    if spec.by_value is not None:
+        has_values.append(F.max(F.when(spec.by_value.covers(), 1).otherwise(0)).alias("has_values"))
+    if complete:
+        lines = tables["plan_pagos"].withColumnRenamed(ENROLMENT, ID)
+        totals = balance_totals(
+            paid_lines(tables, spec.balances, lines), spec.balances, (ID,), extra=has_values
+        )
+        rows = enrolments.join(totals, ID, "left")
+        if has_values:
+            rows = rows.fillna(0, ["has_values"])
+    else:
+        lines = paid_lines(tables, spec.balances, _lines_of(tables, enrolments))
+        rows = balance_totals(lines, spec.balances, enrolments.columns, extra=has_values)
     if spec.by_value is None:
-        return balance_totals(lines, spec.balances, enrolments.columns)
-    has_values = F.max(F.when(spec.by_value.covers(), 1).otherwise(0)).alias("has_values")
-    rows = balance_totals(lines, spec.balances, enrolments.columns, extra=(has_values,))
+        return rows
     # The values need only the enrolments' ids: no category, no course flag.
     bare = unit_enrolments(tables, replace(spec, category=False, course=None)).select(ID)
     lines = paid_lines(tables, (spec.by_value,), _lines_of(tables, bare))

@@ -50,6 +50,9 @@ ADMIN = {
 }
 SCHEMAS: dict[str, T.StructType] = {**ACADEMIC, **ADMIN}
 
+#: The tables that grow with enrolments and payments.
+FACTS = ("inscripciones", "plan_pagos", "detalle_pagos_inscripcion", "pagos_inscripcion")
+
 # Columns that may be used to cut a table into ranges when reading over JDBC.
 RANGE_COLUMN = {name: "id" for name in SCHEMAS} | {"detalle_pagos_inscripcion": "cuota_id"}
 

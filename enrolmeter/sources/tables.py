@@ -1,6 +1,7 @@
 """Readers that return the twelve logical tables as ``{name: DataFrame}``.
 
-No reader runs a job. No reader hints a broadcast: file and catalog sizes are known to
+No reader runs a query. A Parquet load reads one footer for the schema, and schemaless formats
+such as CSV are read through to infer theirs. No reader hints a broadcast: file and catalog sizes are known to
 Spark, which broadcasts a table only below ``spark.sql.autoBroadcastJoinThreshold``, and
 adaptive execution does the same at run time with measured sizes.
 """
@@ -11,7 +12,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .schema import ACADEMIC, ADMIN, RANGE_COLUMN, SCHEMAS, conform
+from .schema import ACADEMIC, ADMIN, FACTS, RANGE_COLUMN, SCHEMAS, conform
 
 Tables = Mapping[str, DataFrame]
 
@@ -34,8 +35,11 @@ def load_tables(
 def catalog_tables(spark: SparkSession, academic: str, admin: str) -> dict[str, DataFrame]:
     """Tables registered in the session catalog under two namespaces.
 
-    If the fact tables are bucketed on their join keys (``inscripciones.id``,
-    ``plan_pagos.inscripcion_id``), Spark joins them without shuffling either side.
+    Buckets spare shuffles. ``inscripciones`` by ``id`` and ``plan_pagos`` by
+    ``inscripcion_id`` join in place. For payments, the largest tables, it depends on the
+    report: with ``detalle_pagos_inscripcion`` by ``cuota_id`` a raw report groups payments in
+    place; with it by ``pagos_inscripcion_id`` and ``pagos_inscripcion`` by ``id``, in equal
+    numbers of buckets, a deduplicated one joins receipts in place.
     """
     homes = {**dict.fromkeys(ACADEMIC, academic), **dict.fromkeys(ADMIN, admin)}
     return {name: conform(spark.table(f"{home}.{name}"), name) for name, home in homes.items()}
@@ -53,8 +57,15 @@ def jdbc_tables(
     """Tables in a relational database with two schemas.
 
     ``ranges`` gives (lowest, highest) id for the tables that should be read in parallel;
-    the bounds only decide the cut, rows outside them are still read.
+    the bounds only decide the cut, rows outside them are still read. The four fact tables
+    must have a range: without one a table goes through a single task.
+
+    A partition's rows must not gather in memory before the first is used. Drivers differ in
+    when they stream: MySQL's heeds ``fetchsize`` only with ``useCursorFetch=true`` in the URL.
     """
+    missing = [name for name in FACTS if name not in (ranges or {})]
+    if missing:
+        raise ValueError(f"ranges lacks (lowest, highest) id of {', '.join(missing)}")
     homes = {**dict.fromkeys(ACADEMIC, academic), **dict.fromkeys(ADMIN, admin)}
     out = {}
     for name, home in homes.items():

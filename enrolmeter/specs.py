@@ -34,12 +34,12 @@ Rule = Callable[[], Column]
 @dataclass(frozen=True)
 class UnitSpec:
     name: str
-    sites: tuple[int, ...]
+    sites: tuple[int, ...] | None  # None: every site
     balances: tuple[Balance, ...]
     money: Mapping[str, str]  # report column -> balance column, in report order
     date: Rule
     condition: Rule
-    institutions: tuple[int, ...] | None = None
+    institutions: tuple[int, ...] | None = None  # None: every partner, or none
     by_value: Balance | None = None  # balance kept per distinct value, not summed
     course: Rule | None = None  # ES_CURSO, over program columns
     category: bool = False  # the rules read ID_CATEGORIA
@@ -113,12 +113,7 @@ INITIAL_FEE = UnitSpec(
 # Q3, R3, K3: the enrolment fee, where there is one, and the first tuition or instalment.
 PARTNER_UNIVERSITIES = UnitSpec(
     name="partner_universities",
-    sites=(
-        *V.INITIAL_FEE_SITES,
-        *V.POSTGRADUATE_SITES,
-        V.PARTNER_EXTRA_POSTGRADUATE_SITE,
-        *V.PARTNER_OWN_SITES,
-    ),
+    sites=V.PARTNER_SITES,
     institutions=V.PARTNER_INSTITUTIONS,
     balances=(
         Balance("matricula", (V.ENROLMENT_FEE,), payments="raw"),

@@ -3,8 +3,7 @@ entry module does on the Spark side, so that both sides compare in one type."""
 
 from __future__ import annotations
 
-from enrolmeter import fixed_values as V
-
+from . import values as V
 from .tables import with_tables
 
 START, END = "1996-01-01 00:00:00", "2000-12-31 23:59:59"
@@ -157,8 +156,8 @@ class Unit:
             shown.append(f"{self.course} AS ES_CURSO")
         shown += [f"{_money(f'coalesce({expr}, 0)')} AS {name}" for name, expr in self.money.items()]
         shown += [
-            f"{self.date} AS FECHA_PAGO_PRODUCTIVIDAD",
-            f"{self.condition} AS CONDICION_PRODUCTIVIDAD",
+            f"{self.date} AS FECHA_PAGO_DECISIVA",
+            f"{self.condition} AS CONDICION_INSCRITO",
             f"{_state('estado_ins')} AS ESTADO_INSCRIPCION",
         ]
         if self.agreement:
@@ -173,20 +172,18 @@ class Unit:
         return with_tables(body, **self._derived(dedup))
 
     def rated(self, columns: str, where: str = "TRUE") -> str:
-        """The rules over the enrolments of every site that have one of the balances."""
-        present = ", ".join(f"{b}.eid" for b in self.balances)
-        present = f"coalesce({present})" if len(self.balances) > 1 else present
+        """The rules over the enrolments of every site, with balances or without."""
         body = (
             f"SELECT star.eid AS ID_INSCRIPCION, {columns} FROM star {self._joins()} "
-            f"WHERE {present} IS NOT NULL AND {where}"
+            f"WHERE {where}"
         )
         return with_tables(body, **self._derived(False))
 
     def show_date(self) -> str:
-        return f"{self.date} AS FECHA_PAGO_PRODUCTIVIDAD"
+        return f"{self.date} AS FECHA_PAGO_DECISIVA"
 
     def show_condition(self) -> str:
-        return f"{self.condition} AS CONDICION_PRODUCTIVIDAD"
+        return f"{self.condition} AS CONDICION_INSCRITO"
 
 
 _IS_NAMED_COURSE = f"cat_nombre IN {_texts(V.COURSE_CATEGORY_NAMES)}"
@@ -268,9 +265,7 @@ PARTNER_UNIVERSITIES = Unit(
         "OR (tuition.saldo IS NULL AND part_fee.saldo = 0))"
     ),
     where=(
-        "site_id IN "
-        + _ids((*V.INITIAL_FEE_SITES, *V.POSTGRADUATE_SITES, 134, *V.PARTNER_OWN_SITES))
-        + " AND partner_id IN (301, 307)"
+        f"site_id IN {_ids(V.PARTNER_SITES)} AND partner_id IN (301, 307)"
     ),
     money={
         "MONTO_MATRICULA": "fee.monto", "SALDO_MATRICULA": "fee.saldo",

@@ -13,7 +13,7 @@ COLUMNS = {
         "UNIDAD", "SEDE", "ASESOR", "CI_ASESOR", "ALUMNO", "CI_ALUMNO", "TIPO_PROGRAMA",
         "ID_INSCRIPCION", "COD_CONTABLE", "PROGRAMA", "ID_PROGRAMA",
     ],
-    "verdict": ["FECHA_PAGO_PRODUCTIVIDAD", "CONDICION_PRODUCTIVIDAD", "ESTADO_INSCRIPCION"],
+    "verdict": ["FECHA_PAGO_DECISIVA", "CONDICION_INSCRITO", "ESTADO_INSCRIPCION"],
 }
 
 
@@ -34,7 +34,7 @@ def test_single_fee_report_row(spark):
         "ID_INSCRIPCION": 100, "COD_CONTABLE": "PRG-1", "PROGRAMA": "Programa uno",
         "ID_PROGRAMA": 1, "TIPO_PLAN_PAGO": "Contado", "MONTO_MENSUALIDAD_CUOTA1": 300,
         "CANCELADO_MENSUALIDAD_CUOTA1": 300, "SALDO_MENSUALIDAD_CUOTA1": 0,
-        "FECHA_PAGO_PRODUCTIVIDAD": at("2026-03-04"), "CONDICION_PRODUCTIVIDAD": "INSCRITO",
+        "FECHA_PAGO_DECISIVA": at("2026-03-04"), "CONDICION_INSCRITO": "INSCRITO",
         "ESTADO_INSCRIPCION": "INSCRITO", "CONVENIO": "INST-A", "MES": "MARZO",
     }
 
@@ -51,7 +51,7 @@ def test_absent_adviser_plan_state_and_unit(spark):
     (row,) = collect(t, "institute")
     assert (row.ASESOR, row.CI_ASESOR, row.UNIDAD) == ("", None, None)
     assert (row.TIPO_PLAN_PAGO, row.ESTADO_INSCRIPCION) == ("Crédito", "NO IDENTIFICADO")
-    assert (row.CONVENIO, row.CONDICION_PRODUCTIVIDAD) == ("Sin Convenio", "NO INSCRITO")
+    assert (row.CONVENIO, row.CONDICION_INSCRITO) == ("Sin Convenio", "NO INSCRITO")
     assert (row.CANCELADO_MENSUALIDAD_CUOTA1, row.SALDO_MENSUALIDAD_CUOTA1) == (0, 0)
 
 
@@ -98,7 +98,7 @@ def test_unlike_first_tuitions_repeat_the_enrolment(spark):
         [payment(1, 1, "2026-02-01"), payment(2, 1, "2026-01-15"), payment(3, 1, "2026-01-02")],
     )
     rows = collect(t, "postgraduate")
-    got = [(r.MONTO_COLEGIATURA_CUOTA1, r.MES, r.CONDICION_PRODUCTIVIDAD) for r in rows]
+    got = [(r.MONTO_COLEGIATURA_CUOTA1, r.MES, r.CONDICION_INSCRITO) for r in rows]
     assert got == [(60, "ENERO", "NO INSCRITO"), (50, "FEBRERO", "INSCRITO")]  # by tuition date
     assert {r.MONTO_TOTAL_PLAN for r in rows} == {115}
 
@@ -116,7 +116,7 @@ def test_equal_first_tuitions_collapse(spark):
 def test_without_tuition_the_enrolment_fee_dates_it(spark):
     t = postgraduate_tables(spark, [line(3, 100, 1, 5, 0)], [payment(3, 1, "2026-01-02")])
     (row,) = collect(t, "postgraduate")
-    assert (row.MES, row.CONDICION_PRODUCTIVIDAD) == ("ENERO", "NO INSCRITO")
+    assert (row.MES, row.CONDICION_INSCRITO) == ("ENERO", "NO INSCRITO")
     assert row.MONTO_COLEGIATURA_CUOTA1 == 0
     cash = postgraduate_tables(spark, [line(3, 100, 1, 5, 0)], [payment(3, 1, "2026-01-02")], plan=1)
     assert collect(cash, "postgraduate") == []

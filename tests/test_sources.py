@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from enrolmeter import UNITS, catalog_tables, load_tables, report
 from enrolmeter.sources.schema import ACADEMIC, SCHEMAS, conform
-from enrolmeter.sources.tables import jdbc_options
+from enrolmeter.sources.tables import jdbc_options, jdbc_tables
 
 from .tiny import line, payment, tables
 
@@ -67,3 +67,8 @@ def test_ranged_reads_over_jdbc():
     ranged = jdbc_options("detalle_pagos_inscripcion", "jdbc:x", "academic", (1, 900), 8)
     assert ranged["partitionColumn"] == "cuota_id"
     assert (ranged["lowerBound"], ranged["upperBound"], ranged["numPartitions"]) == ("1", "900", "8")
+
+
+def test_fact_tables_over_jdbc_need_a_range(spark):
+    with pytest.raises(ValueError, match="ranges lacks .*plan_pagos, detalle_pagos_inscripcion"):
+        jdbc_tables(spark, "jdbc:x", "academic", "admin", {"inscripciones": (1, 9)})
