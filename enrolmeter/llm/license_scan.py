@@ -132,7 +132,8 @@ def scan(
     """``docs`` with ``hits``: (unit, name, dice) of each unit's best template at or over the
     threshold; unit is the line's number from 0, or -1 for the whole text."""
     known, sizes = _literal(docs.sparkSession, templates)
-    low, high = threshold / (2 - threshold), (2 - threshold) / threshold
+    # Wider by a trifle: a Dice of exactly the threshold must not be lost to rounding.
+    low, high = threshold / (2 - threshold) - 1e-9, (2 - threshold) / threshold + 1e-9
     least, most = min(sizes) * low, max(sizes) * high
     nothing = F.expr("CAST(array() AS array<struct<dice:double,name:string>>)")
 
