@@ -1,6 +1,8 @@
 """One pipeline for every unit report.
 
-Each fact table is scanned and shuffled once per report:
+Each fact table is scanned and shuffled once per report. The exception is the one report that
+keeps a balance per distinct value: it groups that balance apart, so it scans enrolments and
+instalments twice (projections differ, and Spark reuses only equal exchanges) and payments once.
 
 1. enrolments of the unit's programs, as fixed-width columns (program side broadcast if
    Spark finds it small);
@@ -132,6 +134,10 @@ def with_balances(
     # The values need only the enrolments' ids: no category, no course flag.
     bare = unit_enrolments(tables, replace(spec, category=False, course=None)).select(ID)
     lines = paid_lines(tables, (spec.by_value,), _lines_of(tables, bare))
+    if spec.by_value.payments == "raw":
+        # True of every line. It asks for the count as the totals do, so that both sides reduce
+        # payments in equal plans and Spark runs that part once.
+        lines = lines.where(F.coalesce("n_pagos", F.lit(1)) > 0)
     return _once_per_value(rows, balance_by_value(lines, spec.by_value, (ID,)))
 
 

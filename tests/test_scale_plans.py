@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from enrolmeter import UNITS, load_tables, report
+from enrolmeter import UNITS, deduplicated, load_tables, report
 from enrolmeter.operators.balances import Balance, enrolment_balances, payments_info
 from enrolmeter.operators.star import attach_people
 from enrolmeter.plans.registry import END, QUERIES, START
@@ -52,20 +52,21 @@ def test_no_pairwise_join_and_no_python(small_tables, name):
         assert operator not in plan
 
 
-@pytest.mark.parametrize("name", UNITS)
+@pytest.mark.parametrize("name", [*UNITS, "postgraduate_dedup"])
 def test_each_fact_is_scanned_once(stored, conf, name):
     conf(autoBroadcastJoinThreshold="-1")
-    df = report(stored, UNITS[name], START, END)
+    spec = UNITS[name] if name in UNITS else deduplicated(UNITS["postgraduate"])
+    df = report(stored, spec, START, END)
     df.collect()
     plan = executed(df)
-    # The by-value balance is grouped apart. Enrolments with and without such values read
-    # one and the same grouping.
-    times = 2 if UNITS[name].by_value else 1
+    # The by-value balance is grouped apart, over payments reduced once. Enrolments with and
+    # without such values read one and the same grouping.
+    times = 2 if spec.by_value else 1
     assert scans_of(plan, "inscripcion_id") == times  # instalments
-    assert scans_of(plan, "cuota_id") == times  # payments
+    assert scans_of(plan, "cuota_id") == 1  # payments
     assert scans_of(plan, "idprograma") == times  # enrolments
     receipts = sum(columns == {"id", "estado"} for columns in scans(plan))
-    assert receipts == (1 if name in DEDUP else 0)  # raw counts need no receipt
+    assert receipts == (0 if name in UNITS and name not in DEDUP else 1)  # raw counts need none
     assert scans_of(plan, "nro_recibo") == 0
 
 
@@ -123,6 +124,41 @@ def test_bucketed_facts_join_without_a_shuffle(spark, stored, conf):
             spark.sql(f"DROP TABLE bucketed_{name}")
 
 
+def bucketed(spark, stored, **keys):
+    """The stored tables, some of them bucketed by a key."""
+    t = dict(stored)
+    for name, key in keys.items():
+        stored[name].write.mode("overwrite").bucketBy(8, key).saveAsTable(f"bucketed_{name}")
+        t[name] = spark.table(f"bucketed_{name}")
+    return t
+
+
+def test_payments_by_instalment_spare_a_raw_report_their_shuffle(spark, stored, conf):
+    conf(autoBroadcastJoinThreshold="-1")
+    on_instalment = r"Exchange hashpartitioning\(cuota_id#"
+    plain = physical(report(stored, UNITS["short_courses"], START, END))
+    t = bucketed(spark, stored, detalle_pagos_inscripcion="cuota_id")
+    try:
+        placed = physical(report(t, UNITS["short_courses"], START, END))
+        assert re.search(on_instalment, plain) and not re.search(on_instalment, placed)
+    finally:
+        spark.sql("DROP TABLE bucketed_detalle_pagos_inscripcion")
+
+
+def test_payments_and_receipts_by_receipt_spare_a_deduplicated_report_two_shuffles(spark, stored, conf):
+    conf(autoBroadcastJoinThreshold="-1")
+    on_receipt = r"Exchange hashpartitioning\(pagos_inscripcion_id#"
+    plain = physical(report(stored, UNITS["institute"], START, END))
+    keys = {"detalle_pagos_inscripcion": "pagos_inscripcion_id", "pagos_inscripcion": "id"}
+    t = bucketed(spark, stored, **keys)
+    try:
+        placed = physical(report(t, UNITS["institute"], START, END))
+        assert len(re.findall(on_receipt, plain)) == 2 and not re.search(on_receipt, placed)
+    finally:
+        for name in keys:
+            spark.sql(f"DROP TABLE bucketed_{name}")
+
+
 # --- one key holds a third of the rows ------------------------------------------------------
 
 
