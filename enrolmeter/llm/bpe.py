@@ -37,6 +37,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -49,7 +50,9 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: How far past its end a match of the pattern may look.
 AHEAD = 2
 LEAF_CHARS = 1024
-LEAF_BYTES = 48
+#: Pieces up to this many bytes are merged outright; beyond a short piece is long.
+LEAF_BYTES = 8
+SHORT_BYTES = 48
 CACHED = 200_000
 
 
@@ -67,13 +70,14 @@ class Codec:
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.split = regex.compile(pattern).findall
         self.codes: dict[str, list[int]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.leaves: dict[bytes, list[int]] = {}
+        self.pairs: dict[tuple[int, int], list[int]] = {}
 
     # --- tokens within a piece ------------------------------------------------------------
 
     def merge(self, piece: bytes) -> list[int]:
         """Lowest rank first, leftmost of equals, until no neighbours merge."""
-        if len(piece) > LEAF_BYTES:
+        if len(piece) > SHORT_BYTES:
             return self._merge_long(piece)
         ranks = self.ranks
         parts = [piece[i : i + 1] for i in range(len(piece))]
@@ -123,23 +127,26 @@ class Codec:
             at = end[at]
         return out
 
-    def stable(self, left: int, right: int) -> bool:
-        """Whether two tokens side by side are the encoding of their bytes."""
+    def pair(self, left: int, right: int) -> list[int]:
+        """The encoding of two tokens' bytes: the two themselves where they are stable."""
         known = self.pairs.get((left, right))
         if known is None:
             if len(self.pairs) >= CACHED:
                 self.pairs.clear()
-            known = self.merge(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
+            known = self.merge(self.bytes_of[left] + self.bytes_of[right])
             self.pairs[left, right] = known
         return known
 
+    def stable(self, left: int, right: int) -> bool:
+        return self.pair(left, right) == [left, right]
+
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of two encoded neighbours of one piece."""
         if not left or not right:
             return left + right
         a = b = 1
+        window = self.pair(left[-1], right[0])
         while True:
-            window = self.merge(self.decode(left[-a:]) + self.decode(right[:b]))
             left_holds = a >= len(left) or self.stable(left[-a - 1], window[0])
             right_holds = b >= len(right) or self.stable(window[-1], right[b])
             if left_holds and right_holds:
@@ -148,10 +155,16 @@ class Codec:
                 a = min(2 * a, len(left))
             if not right_holds:
                 b = min(2 * b, len(right))
+            window = self.merge(self.decode(left[-a:]) + self.decode(right[:b]))
 
     def tree(self, piece: bytes) -> list[int]:
         if len(piece) <= LEAF_BYTES:
-            return self.merge(piece)
+            code = self.leaves.get(piece)
+            if code is None:
+                if len(self.leaves) >= CACHED:
+                    self.leaves.clear()
+                code = self.leaves[piece] = self.merge(piece)
+            return code
         half = len(piece) // 2
         return self.join(self.tree(piece[:half]), self.tree(piece[half:]))
 
@@ -159,7 +172,7 @@ class Codec:
         code = self.codes.get(text)
         if code is None:
             code = self.tree(text.encode())
-            if len(text) <= LEAF_BYTES:
+            if len(text) <= SHORT_BYTES:
                 if len(self.codes) >= CACHED:
                     self.codes.clear()
                 self.codes[text] = code
@@ -212,7 +225,7 @@ class Codec:
 
     def _grown(self, piece: str, parts: list[str], codes: list[list[int]]) -> list[int]:
         """Tokens of a long piece made of the first whole parts: those joined, else anew."""
-        if len(piece) <= LEAF_BYTES:
+        if len(piece) <= SHORT_BYTES:
             return self.piece(piece)
         length, code = 0, []
         for part, more in zip(parts, codes):
@@ -286,7 +299,11 @@ def decode(encoded: DataFrame, path: str, pattern: str = public_tokenizers.PATTE
 
     def convert(ids: pa.Array) -> pa.Array:
         codec = _codec(path, ranks, pattern)
-        return pa.array([codec.decode(one.as_py() or []) for one in ids], pa.binary())
+        flat = ids.flatten().to_numpy(zero_copy_only=False)
+        stops = np.cumsum(pc.list_value_length(ids).fill_null(0).to_numpy(zero_copy_only=False))
+        starts = np.append(0, stops[:-1])
+        made = [codec.decode(flat[a:b].tolist()) for a, b in zip(starts, stops)]
+        return pa.array(made, pa.binary())
 
     own = encoded.select(*without(encoded, "decoded", "bpe_ids"), F.col("ids").alias("bpe_ids"))
     return _mapped(own, "bpe_ids", StructField("decoded", BinaryType()), convert)
