@@ -1,5 +1,6 @@
 """Tokens, personal data, the network, vectors and near-duplicates against brute force."""
 
+import hashlib
 import re
 from collections import Counter, defaultdict
 
@@ -112,6 +113,19 @@ def test_found_spans_keep_the_base_and_never_overlap_it(spark, documents, awkwar
                     assert all(s.end <= b or e <= s.start for _, b, e in base)
 
 
+def test_query_against_brute_force(spark):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    order = {kind: i for i, kind in enumerate(pii.KINDS)}
+    rows = pii.op3_pii(spark, SMALL).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        base = sorted(brute_spans(texts[r.doc_id]), key=lambda s: (order[s[0]], s[1]))
+        shown = ",".join(f"{k}:{s}:{e}" for k, s, e in base)
+        assert r.base_sha256 == hashlib.sha256(shown.encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[0] == k for s in base) for k in pii.BASE_KINDS]
+        assert set(filter(None, shown.split(","))) <= set(r.spans.split(","))
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "é a@b.cd, 1.2.3.4!"), (2, None)], "doc_id long, text string")
     got = {r.doc_id: r.text for r in pii.redact(pii.find(docs, None)).collect()}
