@@ -49,7 +49,7 @@ from .common import hex_sha256, table, text_of, without
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: How far past its end a match of the pattern may look.
 AHEAD = 2
-LEAF_CHARS = 1024
+LEAF_CHARS = 2048
 #: Pieces up to this many bytes are merged outright; beyond a short piece is long.
 LEAF_BYTES = 8
 SHORT_BYTES = 48
