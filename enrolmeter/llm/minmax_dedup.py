@@ -8,10 +8,11 @@ make a band; least values fill one half of the bands, largest values the other.
 1. Texts with equal sets become one node, so copies cost one row each.
 2. Nodes that share a band's value share a bucket. In every bucket each node meets the bucket's
    least node (a star, linear in the bucket), links are confirmed, components are labelled.
-3. In buckets that still hold several labels, nodes outside the largest label meet all others
-   of a different label, in blocks of bounded size. Sizes and the share of equal signature
-   values rule most pairs out there; what is left is confirmed, the most alike first
-   (``FIRST_TRIES`` for each node and label), then, after labelling again, all the rest.
+3. In buckets of more than two nodes that still hold several labels, nodes outside the largest
+   label meet all others of a different label, in blocks of bounded size. Sizes and the share
+   of equal signature values rule most pairs out there; what is left is confirmed, the most
+   alike first (``FIRST_TRIES`` for each node and label), then, after labelling again, all the
+   rest in the buckets that have any.
 
 So a group of thousands of near copies is not expanded into its pairs, and yet no pair of a
 bucket in different components stays untested. Confirmation is exact, on full sets.
@@ -149,10 +150,11 @@ def _star_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _stray_pairs(
     members: DataFrame, nodes: DataFrame, labels: DataFrame, tries: int | None, folder: str
-) -> DataFrame:
-    """Pairs of different labels in one bucket that sizes and signatures do not rule out.
+) -> tuple[DataFrame, DataFrame]:
+    """Pairs of different labels in one bucket that sizes and signatures do not rule out, and
+    the buckets that have more of them.
 
-    With ``tries``, only so many of the most alike for a node, a label and a block.
+    With ``tries``, only so many of the most alike for a node, a label and a block are given.
     """
     now = members.select("band", "value", "node").join(labels, "node", "left")
     now = now.select("band", "value", "node", F.coalesce("label", "node").alias("label"))
@@ -165,7 +167,7 @@ def _stray_pairs(
             F.sum("held").alias("size"),
             F.count("*").alias("n_labels"),
         )
-        .where(F.col("n_labels") > 1)
+        .where((F.col("n_labels") > 1) & (F.col("size") > 2))  # two nodes have met in the star
         .select(
             "band", "value", F.col("main.label").alias("main"),
             F.ceil(F.col("size") / MEMBER_BLOCK).cast("int").alias("blocks"),
@@ -187,16 +189,19 @@ def _stray_pairs(
         )
 
     cells = dealt(True).unionByName(dealt(False)).groupBy("band", "value", "stray_block", "block")
-    return cells.applyInPandas(lambda rows: _cell(rows, tries), "a long, b long").distinct()
+    found = cells.applyInPandas(lambda rows: _cell(rows, tries), "band int, value long, a long, b long")
+    found = written(found, f"{folder}/found")
+    more = found.where(F.col("a").isNull()).select("band", "value").distinct()
+    return found.where(F.col("a").isNotNull()).select("a", "b").distinct(), more
 
 
 def _cell(rows: pd.DataFrame, tries: int | None) -> pd.DataFrame:
-    """Strays of one block against the members of another."""
+    """Strays of one block against the members of another; a row without pair says: more."""
     stray = rows["stray"].to_numpy(bool)
     strays, members = rows[stray], rows[~stray]
-    found: list[tuple[np.ndarray, np.ndarray]] = []
+    band, value = int(rows["band"].iloc[0]), int(rows["value"].iloc[0])
+    a, b, more = [], [], False
     if len(strays) and len(members):
-        band = int(rows["band"].iloc[0])
         node, label = members["node"].to_numpy(), members["label"].to_numpy()
         n, main = members["n"].to_numpy(), members["main"].to_numpy()
         sigs = np.frombuffer(b"".join(members["sig"]), np.uint8).reshape(len(members), -1)
@@ -213,11 +218,18 @@ def _cell(rows: pd.DataFrame, tries: int | None) -> pd.DataFrame:
             if tries is not None and len(at) > tries:
                 ranked = pd.DataFrame({"label": label[at], "equal": -equal, "node": node[at]})
                 order = ranked.sort_values(["label", "equal", "node"])
-                at = at[order.groupby("label").head(tries).index.to_numpy()]
-            found.append((np.full(len(at), one.node, np.int64), node[at]))
-    if not found:
-        return pd.DataFrame({"a": [], "b": []}).astype("int64")
-    return pd.DataFrame({"a": np.concatenate([f[0] for f in found]), "b": np.concatenate([f[1] for f in found])})
+                first = order.groupby("label").head(tries).index.to_numpy()
+                more |= len(first) < len(at)
+                at = at[first]
+            a += [one.node] * len(at)
+            b += node[at].tolist()
+    if more:
+        a.append(None)
+        b.append(None)
+    pairs = pd.DataFrame({"a": pd.array(a, "Int64"), "b": pd.array(b, "Int64")})
+    pairs.insert(0, "value", value)
+    pairs.insert(0, "band", band)
+    return pairs
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -272,11 +284,12 @@ def group_near_duplicates(docs: DataFrame, shingle_words: int = 5) -> DataFrame:
         f"{folder}/sets",
     )
     links = written(_confirmed(_star_pairs(members, nodes), sets), f"{folder}/star")
+    open_members = members
     for number, tries in enumerate((FIRST_TRIES, None)):
         labels = written(components(links, "a", "b"), f"{folder}/labels{number}")
-        more = _stray_pairs(members, nodes, labels, tries, f"{folder}/stray{number}")
-        more = written(_confirmed(more, sets), f"{folder}/links{number}")
-        links = links.unionByName(more)
+        pairs, more = _stray_pairs(open_members, nodes, labels, tries, f"{folder}/stray{number}")
+        links = links.unionByName(written(_confirmed(pairs, sets), f"{folder}/links{number}"))
+        open_members = members.join(more, ["band", "value"], "left_semi")
     # Several rows of one id tie the nodes of their texts together.
     ids = written(
         owners.groupBy("doc_id").agg(F.min("node").alias("node"), F.max("node").alias("last")), f"{folder}/ids"
