@@ -1,4 +1,10 @@
-"""Connected components of a graph given as rows, by alternating star operations."""
+"""Connected components of a graph given as rows, by alternating star operations.
+
+Each round asks for every node's least neighbour. While a graph has at most ``SMALL_GRAPH``
+edges, which is counted in every round, those are broadcast and a round is one job. Beyond that
+they are a table of their own beside a shuffled join, so that a node with very many neighbours
+may be split.
+"""
 
 from __future__ import annotations
 
@@ -8,20 +14,23 @@ from pyspark.sql import functions as F
 from .common import scratch, written
 
 
-def _with_least(pairs: DataFrame, folder: str) -> DataFrame:
-    """Each (node, other) with the node's least neighbour. The least ones are a table of their
-    own, so that a node with very many neighbours may be split in the join."""
+SMALL_GRAPH = 200_000
+
+
+def _with_least(pairs: DataFrame, folder: str, small: bool) -> DataFrame:
+    """Each (node, other) with the node's least neighbour."""
     least = pairs.groupBy("node").agg(F.min("other").alias("least"))
-    return pairs.join(written(least, folder), "node")
+    return pairs.join(F.broadcast(least) if small else written(least, folder), "node")
 
 
-def _star(edges: DataFrame, folder: str) -> DataFrame:
+def _star(edges: DataFrame, folder: str, small_graph: bool) -> DataFrame:
     """Larger neighbours move to the least one around, then smaller ones do."""
     both = edges.unionByName(edges.select(F.col("other").alias("node"), F.col("node").alias("other")))
-    large = _with_least(both, f"{folder}/large-least").where(F.col("other") > F.col("node"))
+    large = _with_least(both, f"{folder}/large-least", small_graph).where(F.col("other") > F.col("node"))
     large = large.select(F.col("other").alias("node"), F.least("node", "least").alias("other")).distinct()
-    large = written(large, f"{folder}/large")
-    small = _with_least(large, f"{folder}/small-least")
+    if not small_graph:
+        large = written(large, f"{folder}/large")
+    small = _with_least(large, f"{folder}/small-least", small_graph)
     moved = small.where(F.col("other") != F.col("least")).select(F.col("other").alias("node"), "least")
     own = small.select("node", "least").distinct()
     return moved.unionByName(own).select("node", F.col("least").alias("other")).distinct()
@@ -45,6 +54,6 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
         if found == seen:
             break
         seen, rounds = found, rounds + 1
-        now = written(_star(now, f"{folder}/{rounds}"), f"{folder}/{rounds}/edges")
+        now = written(_star(now, f"{folder}/{rounds}", found["n"] <= SMALL_GRAPH), f"{folder}/{rounds}/edges")
     roots = now.select(F.col("other").alias("node")).distinct().select("node", F.col("node").alias("label"))
     return now.select("node", F.col("other").alias("label")).unionByName(roots)
