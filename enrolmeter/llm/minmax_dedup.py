@@ -10,9 +10,12 @@ make a band; least values fill one half of the bands, largest values the other.
    least node (a star, linear in the bucket), links are confirmed, components are labelled.
 3. In buckets of more than two nodes that still hold several labels, nodes outside the largest
    label meet all others of a different label, in blocks of bounded size. Sizes and the share
-   of equal signature values rule most pairs out there; what is left is confirmed, the most
-   alike first (``FIRST_TRIES`` for each node and label), then, after labelling again, all the
-   rest in the buckets that have any.
+   of equal signature values rule most pairs out there; of what is left the most alike are
+   confirmed (for each node ``FIRST_TRIES`` of the largest label and as many of the rest), and
+   nodes are labelled again.
+4. Buckets that had more such pairs are joined to clusters, in which every node comes once.
+   There the full sets themselves meet in blocks, again only nodes outside the largest label
+   against nodes of other labels, and a block gives one link for a node and label at most.
 
 So a group of thousands of near copies is not expanded into its pairs, and yet no pair of a
 bucket in different components stays untested. Confirmation is exact, on full sets.
@@ -46,8 +49,10 @@ PERMUTATIONS, ROWS = 64, 4
 BANDS = 2 * PERMUTATIONS // ROWS
 THRESHOLD = 80  # per cent
 LEAST_EQUAL = PERMUTATIONS  # half of the signature's values
-FIRST_TRIES = 8
+FIRST_TRIES = 3
+#: Blocks of a bucket, by nodes, and of a cluster, by shingles.
 STRAY_BLOCK, MEMBER_BLOCK = 256, 1024
+STRAY_SHINGLES, MEMBER_SHINGLES = 250_000, 1_000_000
 SLICE = 8192
 CACHED_WORDS = 500_000
 
@@ -149,33 +154,39 @@ def _star_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _stray_pairs(
-    members: DataFrame, nodes: DataFrame, labels: DataFrame, tries: int | None, folder: str
+    members: DataFrame, nodes: DataFrame, labels: DataFrame, folder: str, sets: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Pairs of different labels in one bucket that sizes and signatures do not rule out, and
-    the buckets that have more of them.
+    """Pairs of different labels in one bucket that may be links, and the buckets with more.
 
-    With ``tries``, only so many of the most alike for a node, a label and a block are given.
+    Without ``sets``: pairs that sizes and signatures do not rule out, in a block and for a node
+    the ``FIRST_TRIES`` most alike of the largest label and as many others. With them: links,
+    one for each node, label and block.
     """
-    now = members.select("band", "value", "node").join(labels, "node", "left")
-    now = now.select("band", "value", "node", F.coalesce("label", "node").alias("label"))
+    now = members.select("band", "value", "node", "n").join(labels, "node", "left")
+    now = now.select("band", "value", "node", "n", F.coalesce("label", "node").alias("label"))
     now = written(now, f"{folder}/now")
-    held = now.groupBy("band", "value", "label").agg(F.count("*").alias("held"))
+    held = now.groupBy("band", "value", "label").agg(
+        F.count("*").alias("held"), F.sum("n" if sets is not None else F.lit(1)).alias("weight")
+    )
+    stray_block, block = (STRAY_SHINGLES, MEMBER_SHINGLES) if sets is not None else (STRAY_BLOCK, MEMBER_BLOCK)
     open_buckets = (
         held.groupBy("band", "value")
         .agg(
-            F.max(F.struct("held", "label")).alias("main"),
+            F.max(F.struct("held", "label", "weight")).alias("main"),
             F.sum("held").alias("size"),
+            F.sum("weight").alias("weight"),
             F.count("*").alias("n_labels"),
         )
         .where((F.col("n_labels") > 1) & (F.col("size") > 2))  # two nodes have met in the star
         .select(
             "band", "value", F.col("main.label").alias("main"),
-            F.ceil(F.col("size") / MEMBER_BLOCK).cast("int").alias("blocks"),
-            F.ceil((F.col("size") - F.col("main.held")) / STRAY_BLOCK).cast("int").alias("stray_blocks"),
+            F.ceil(F.col("weight") / block).cast("int").alias("blocks"),
+            F.ceil((F.col("weight") - F.col("main.weight")) / stray_block).cast("int").alias("stray_blocks"),
         )
     )
     open_buckets = written(open_buckets, f"{folder}/open")
-    rows = now.join(open_buckets, ["band", "value"]).join(nodes, "node")
+    rows = now.drop("n").join(open_buckets, ["band", "value"]).join(nodes, "node")
+    rows = rows.join(sets, "node") if sets is not None else rows.withColumn("shingles", F.lit(None).cast("binary"))
 
     def dealt(stray: bool) -> DataFrame:
         side = rows.where(F.col("label") != F.col("main")) if stray else rows
@@ -184,24 +195,59 @@ def _stray_pairs(
         place = F.pmod(F.xxhash64("node"), F.col(own)).cast("int")
         everywhere = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
         return side.select(
-            "band", "value", "node", "label", "main", "n", "bands", "sig", F.lit(stray).alias("stray"),
+            "band", "value", "node", "label", "main", "n", "bands", "sig", "shingles", F.lit(stray).alias("stray"),
             place.alias(names[0]), everywhere.alias(names[1]),
         )
 
     cells = dealt(True).unionByName(dealt(False)).groupBy("band", "value", "stray_block", "block")
-    found = cells.applyInPandas(lambda rows: _cell(rows, tries), "band int, value long, a long, b long")
+    judge, tries = _cell_links if sets is not None else _cell, FIRST_TRIES
+    found = cells.applyInPandas(lambda rows: judge(rows, tries), "band int, value long, a long, b long")
     found = written(found, f"{folder}/found")
     more = found.where(F.col("a").isNull()).select("band", "value").distinct()
     return found.where(F.col("a").isNotNull()).select("a", "b").distinct(), more
 
 
-def _cell(rows: pd.DataFrame, tries: int | None) -> pd.DataFrame:
+def _rows(rows: pd.DataFrame, a: list, b: list) -> pd.DataFrame:
+    pairs = pd.DataFrame({"a": pd.array(a, "Int64"), "b": pd.array(b, "Int64")})
+    pairs.insert(0, "value", int(rows["value"].iloc[0]))
+    pairs.insert(0, "band", int(rows["band"].iloc[0]))
+    return pairs
+
+
+def _cell_links(rows: pd.DataFrame, _: int) -> pd.DataFrame:
+    """Links of one block's strays to another's members, by their full sets."""
+    stray = rows["stray"].to_numpy(bool)
+    strays, members = rows[stray], rows[~stray]
+    a, b = [], []
+    if len(strays) and len(members):
+        node, label, main = (members[c].to_numpy() for c in ("node", "label", "main"))
+        sets = [np.frombuffer(s, np.uint64) for s in members["shingles"]]
+        sizes = np.array([len(s) for s in sets])
+        known, place = np.unique(np.concatenate(sets), return_inverse=True)
+        starts = np.cumsum([0, *sizes[:-1]])
+        for one in strays.itertuples():
+            own = np.frombuffer(one.shingles, np.uint64)
+            has = np.zeros(len(known), np.int32)
+            at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+            has[at[known[at] == own]] = 1
+            both = np.add.reduceat(has[place], starts)
+            # Two strays meet twice: the lesser node's turn counts.
+            fit = (label != one.label) & ((label == main) | (node > one.node))
+            fit &= 100 * both >= THRESHOLD * (sizes + len(own) - both)
+            at = np.flatnonzero(fit)
+            at = at[np.unique(label[at], return_index=True)[1]]
+            a += [one.node] * len(at)
+            b += node[at].tolist()
+    return _rows(rows, a, b)
+
+
+def _cell(rows: pd.DataFrame, tries: int) -> pd.DataFrame:
     """Strays of one block against the members of another; a row without pair says: more."""
     stray = rows["stray"].to_numpy(bool)
     strays, members = rows[stray], rows[~stray]
-    band, value = int(rows["band"].iloc[0]), int(rows["value"].iloc[0])
     a, b, more = [], [], False
     if len(strays) and len(members):
+        band = int(rows["band"].iloc[0])
         node, label = members["node"].to_numpy(), members["label"].to_numpy()
         n, main = members["n"].to_numpy(), members["main"].to_numpy()
         sigs = np.frombuffer(b"".join(members["sig"]), np.uint8).reshape(len(members), -1)
@@ -215,10 +261,10 @@ def _cell(rows: pd.DataFrame, tries: int | None) -> pd.DataFrame:
             at = np.flatnonzero(fit)
             equal = (sigs[at] == np.frombuffer(one.sig, np.uint8)).sum(axis=1)
             at, equal = at[equal >= LEAST_EQUAL], equal[equal >= LEAST_EQUAL]
-            if tries is not None and len(at) > tries:
-                ranked = pd.DataFrame({"label": label[at], "equal": -equal, "node": node[at]})
-                order = ranked.sort_values(["label", "equal", "node"])
-                first = order.groupby("label").head(tries).index.to_numpy()
+            if len(at) > tries:
+                order = np.lexsort((node[at], -equal))
+                largest = label[at[order]] == main[at[order]]
+                first = np.concatenate([order[largest][:tries], order[~largest][:tries]])
                 more |= len(first) < len(at)
                 at = at[first]
             a += [one.node] * len(at)
@@ -226,10 +272,7 @@ def _cell(rows: pd.DataFrame, tries: int | None) -> pd.DataFrame:
     if more:
         a.append(None)
         b.append(None)
-    pairs = pd.DataFrame({"a": pd.array(a, "Int64"), "b": pd.array(b, "Int64")})
-    pairs.insert(0, "value", value)
-    pairs.insert(0, "band", band)
-    return pairs
+    return _rows(rows, a, b)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -284,19 +327,29 @@ def group_near_duplicates(docs: DataFrame, shingle_words: int = 5) -> DataFrame:
         f"{folder}/sets",
     )
     links = written(_confirmed(_star_pairs(members, nodes), sets), f"{folder}/star")
-    open_members = members
-    for number, tries in enumerate((FIRST_TRIES, None)):
-        labels = written(components(links, "a", "b"), f"{folder}/labels{number}")
-        pairs, more = _stray_pairs(open_members, nodes, labels, tries, f"{folder}/stray{number}")
-        links = links.unionByName(written(_confirmed(pairs, sets), f"{folder}/links{number}"))
+    labels = written(components(links, "a", "b"), f"{folder}/labels")
+    pairs, more = _stray_pairs(members, nodes, labels, f"{folder}/tried")
+    new = written(_confirmed(pairs, sets), f"{folder}/tried-links")
+    if not new.isEmpty():
+        links = links.unionByName(new)
+        labels = written(components(links, "a", "b"), f"{folder}/tried-labels")
+    if not more.isEmpty():
         open_members = members.join(more, ["band", "value"], "left_semi")
+        clusters = written(components(open_members, "least", "node"), f"{folder}/clusters")
+        placed = clusters.select(F.lit(0).alias("band"), F.col("label").alias("value"), "node")
+        placed = placed.join(nodes.select("node", "n"), "node")
+        new, _ = _stray_pairs(placed, nodes, labels, f"{folder}/rest", sets)
+        if not new.isEmpty():
+            links = links.unionByName(new)
+            labels = written(components(links, "a", "b"), f"{folder}/rest-labels")
     # Several rows of one id tie the nodes of their texts together.
     ids = written(
         owners.groupBy("doc_id").agg(F.min("node").alias("node"), F.max("node").alias("last")), f"{folder}/ids"
     )
     several = ids.where(F.col("node") != F.col("last")).select("doc_id", F.col("node").alias("a"))
-    tied = owners.join(several, "doc_id").select("a", F.col("node").alias("b"))
-    labels = written(components(links.unionByName(tied), "a", "b"), f"{folder}/labels")
+    if not several.isEmpty():
+        tied = owners.join(several, "doc_id").select("a", F.col("node").alias("b"))
+        labels = written(components(links.unionByName(tied), "a", "b"), f"{folder}/labels-tied")
     grouped = ids.join(labels, "node", "left").select("doc_id", F.coalesce("label", "node").alias("component_id"))
     return _labelled(docs, signed, grouped)
 
