@@ -14,6 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from enrolmeter.llm import bpe, minmax_dedup, pii, quality_net
+from enrolmeter.llm import components as component_rows
 from enrolmeter.llm.boosting import boost
 from enrolmeter.llm.components import components
 from enrolmeter.llm.pivot_topk import top_k
@@ -222,8 +223,10 @@ def test_top_k_with_ties_nulls_and_ragged_vectors(spark):
 # --- near-duplicates --------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("chain", [2, 3, 40])
-def test_components_of_chains_and_stars(spark, chain):
+@pytest.mark.parametrize("chain, small_graph", [(2, 10**6), (3, 0), (40, 70)])
+def test_components_of_chains_and_stars(spark, chain, small_graph, monkeypatch):
+    """By broadcast, by shuffled joins, and from one to the other as the graph shrinks."""
+    monkeypatch.setattr(component_rows, "SMALL_GRAPH", small_graph)
     edges = [(i, i + 1) for i in range(100, 100 + chain)] + [(7, i) for i in range(500, 560)] + [(3, 3)]
     got = components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()
     assert {r.node: r.label for r in got} == {i: 100 for i in range(100, 101 + chain)} | {i: 7 for i in [7, *range(500, 560)]}
@@ -278,6 +281,8 @@ def test_small_blocks_lose_no_link(spark, documents, monkeypatch):
     """Strays and members of one bucket dealt to several blocks still all meet."""
     monkeypatch.setattr(minmax_dedup, "STRAY_BLOCK", 3)
     monkeypatch.setattr(minmax_dedup, "MEMBER_BLOCK", 4)
+    monkeypatch.setattr(minmax_dedup, "STRAY_SHINGLES", 700)
+    monkeypatch.setattr(minmax_dedup, "MEMBER_SHINGLES", 1500)
     monkeypatch.setattr(minmax_dedup, "FIRST_TRIES", 1)
     rng = np.random.default_rng(9)
     base = [f"w{i}" for i in range(150)]
