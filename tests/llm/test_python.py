@@ -127,6 +127,49 @@ def test_query_against_brute_force(spark):
         assert set(filter(None, shown.split(","))) <= set(r.spans.split(","))
 
 
+def test_a_kind_with_few_examples_is_added_to(spark, documents):
+    rng = np.random.default_rng(5)
+    text = lambda n: "".join(rng.choice(list("abcdefghjkmnpqrstuvwxyz23456789"), n)) + "7a"
+    rows = [(i, f"write to {'abc'[i % 3]}{i}@example.com, item-number-{i}-of-{i * 7}-all") for i in range(300)]
+    rows += [(1000 + i, f"see password={text(20)} there") for i in range(9)]
+    docs = documents(rows)
+    judge = pii.learn(docs)
+    assert set(judge.thresholds) == set(pii.KINDS)
+    spans = {r.doc_id: [s.kind for s in r.spans if not s.base] for r in pii.find(docs, judge).collect()}
+    assert sum("secret" in spans[1000 + i] for i in range(9)) == 9
+    assert not any(spans[i] for i in range(300))
+
+
+def test_a_rare_kind_is_learned_from_however_many_others_there_are(monkeypatch):
+    monkeypatch.setattr(pii, "STRATUM", 30)
+    texts = [f"a{i}@example.com" for i in range(2000)] + [f"token={i:010d}abcdef" for i in range(25)]
+    batch = pd.DataFrame({"doc_id": [str(i) for i in range(len(texts))], "text": texts})
+    (got,) = pii._examples(iter([batch]))
+    counts = got[got["n"] > 0].set_index(["kind", "verdict"])["n"].to_dict()
+    assert counts["email", 1] == 2000 and counts["secret", 1] == 25
+    taken = got[got["n"] == 0].groupby(["kind", "verdict"]).size().to_dict()
+    assert taken["email", 1] == 30 and taken["secret", 1] == 25
+
+
+def test_thresholds_count_the_corpus_not_the_sample():
+    chances, good = np.array([0.9, 0.8, 0.7]), np.array([True, False, True])
+    assert pii._lowest(chances, good, np.array([1e4, 1.0, 1e4])) == 0.7
+    assert pii._lowest(chances, good, np.array([1e4, 1e4, 1e4])) == 0.9
+
+
+def test_one_error_among_few_examples_takes_no_kind_away():
+    rows, counts = [], Counter()
+    for kind, good, odd in (("email", 400, 0), ("card", 60, 1)):
+        for i in range(good + 40 + odd):
+            verdict = int(i < good)
+            # The odd ones are refused but look like accepted ones.
+            looks = [float(verdict or i >= good + 40), float(kind == "card")]
+            rows.append(dict(kind=kind, verdict=verdict, content=f"{i:04d}", place=f"{i:04d}", features=looks))
+            counts[kind, verdict] += 1
+    judge = pii._judge(rows, counts)
+    assert {"email", "card"} <= set(judge.thresholds)
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "é a@b.cd, 1.2.3.4!"), (2, None)], "doc_id long, text string")
     got = {r.doc_id: r.text for r in pii.redact(pii.find(docs, None)).collect()}
