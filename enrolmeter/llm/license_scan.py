@@ -10,6 +10,14 @@ template builds none; a unit with d distinct words has at least d - 1, so one to
 largest builds none either, which spares nearly all whole texts; and the exact size selects the
 templates a unit is compared with.
 
+Passages are runs of consecutive words, over the ends of lines or inside longer ones, with a Dice of
+at least the threshold and at most (2 - t) / t times the template's words. A text must hold
+t / (2 - t) of a template's bigrams at all, and a run as many within its length, before runs are
+measured; then every run that begins and ends with a bigram of the template is, since another end
+only lowers Dice. Of runs that overlap, the one with most bigrams in common stays; runs that lie by
+half or more in units with a hit are not told again. The templates for passages are those of the
+units and more that keep similar licences apart.
+
 All of it is array functions within the document's row: no shuffle and no join. The templates
 are a literal of a few thousand numbers in the plan, bounded by the list below.
 
@@ -103,23 +111,56 @@ TEMPLATES: dict[str, str] = {
     "Unlicense/notice": "This is free and unencumbered software released into the public domain.",
 }
 
+_GPL = TEMPLATES["GPL-3.0/header"]
+
+#: What passages are compared with.
+PASSAGES: dict[str, str] = {
+    **TEMPLATES,
+    "AGPL-3.0/header": _GPL.replace("GNU General", "GNU Affero General"),
+    "BSD-3-Clause/text": TEMPLATES["BSD-2-Clause/text"] + (
+        " 3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written permission."
+    ),
+    "CC0-1.0/text": (
+        "The laws of most jurisdictions throughout the world automatically confer exclusive Copyright and "
+        "Related Rights (defined below) upon the creator and subsequent owner(s) (each and all, an \"owner\") "
+        "of an original work of authorship and/or a database (each, a \"Work\")."
+    ),
+    "GPL-1.0/header": _GPL.replace("either version 3 of the License", "either version 1"),
+    "GPL-2.0/header": _GPL.replace("either version 3", "either version 2"),
+    "LGPL-2.0/header": _GPL.replace("program", "library").replace("GNU General", "GNU Library General")
+    .replace("either version 3", "either version 2"),
+    "LGPL-2.1/header": _GPL.replace("program", "library").replace("GNU General", "GNU Lesser General")
+    .replace("either version 3", "either version 2.1"),
+    "LGPL-3.0/header": _GPL.replace("GNU General", "GNU Lesser General"),
+    "LGPL-3.0/text": (
+        "This version of the GNU Lesser General Public License incorporates the terms and conditions of "
+        "version 3 of the GNU General Public License, supplemented by the additional permissions listed below."
+    ),
+}
+
 
 def _words(unit: Column) -> Column:
     return F.filter(F.split(F.lower(unit), NOT_WORD), lambda w: w != "")
 
 
-def _bigrams(words: Column) -> Column:
+def _pairs(words: Column) -> Column:
     n = F.size(words) - 1
     pairs = F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.xxhash64(a, b))
-    return F.when(n > 0, F.array_distinct(pairs)).otherwise(F.array().cast("array<bigint>"))
+    return F.when(n > 0, pairs).otherwise(F.array().cast("array<bigint>"))
+
+
+def _bigrams(words: Column) -> Column:
+    return F.array_distinct(_pairs(words))
 
 
 def _literal(spark: SparkSession, templates: Mapping[str, str]) -> tuple[Column, list[int]]:
     """The templates as an array constant, hashed as the units are, and their sizes."""
     given = spark.createDataFrame(sorted(templates.items()), "name string, text string")
-    rows = given.select("name", _bigrams(_words(F.col("text"))).alias("bigrams")).collect()
+    words = _words(F.col("text"))
+    rows = given.select("name", (F.size(words) - 1).alias("length"), _bigrams(words).alias("bigrams")).collect()
     structs = [
-        f"named_struct('name', '{r['name']}', 'n', {len(r['bigrams'])}, "
+        f"named_struct('name', '{r['name']}', 'n', {len(r['bigrams'])}, 'length', {r['length']}, "
         f"'bigrams', array({', '.join(f'{b}L' if b != -(2**63) else str(b) for b in r['bigrams'])}))"
         for r in sorted(rows, key=lambda r: r["name"])
     ]
@@ -174,11 +215,140 @@ def scan(
     return docs.select(*without(docs, "hits"), let(lines_of(text_of()), hits).alias("hits"))
 
 
+def passages(
+    scanned: DataFrame, templates: Mapping[str, str] = PASSAGES, threshold: float = THRESHOLD
+) -> DataFrame:
+    """``scanned``, which has ``hits``, with ``passages``: (name, dice, start, until) of the runs of
+    words that hold a template, in words of the whole text from 0, ``until`` exclusive."""
+    known, _ = _literal(scanned.sparkSession, templates)
+    low, high = threshold / (2 - threshold) - 1e-9, (2 - threshold) / threshold + 1e-9
+    nothing = F.expr("CAST(array() AS array<struct<fewer:int,less:double,start:int,name:string,until:int>>)")
+    every = F.array_distinct(F.flatten(F.transform(known, lambda t: t["bigrams"])))
+
+    def placed(pairs: Column) -> Column:
+        """(i, h, last): every bigram with its place and the place of the same one before, or -1."""
+        numbered = F.array_sort(F.transform(pairs, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+
+        def linked(s: Column) -> Column:
+            def link(x: Column, j: Column) -> Column:
+                before = F.get(s, j - 1)
+                last = F.when((j > 0) & (before["h"] == x["h"]), before["i"]).otherwise(-1)
+                return F.struct(x["i"].alias("i"), x["h"].alias("h"), last.alias("last"))
+
+            return F.array_sort(F.transform(s, link))
+
+        return let(numbered, linked)
+
+    def best_from(marked: Column, t: Column, length: Column):
+        """Of the runs that begin at a place, the one of the greatest Dice."""
+        zero = F.struct(*(F.lit(0).alias(x) for x in ("n", "both")), F.lit(0.0).alias("dice"), *(F.lit(0).alias(x) for x in ("shared", "end")))
+
+        def run(a: Column) -> Column:
+            def step(s: Column, x: Column) -> Column:
+                new = x["last"] < a
+                n = s["n"] + new.cast("int")
+                both = s["both"] + (new & x["own"]).cast("int")
+                dice = 2.0 * both / (n + t["n"])
+                better = x["own"] & (dice > s["dice"])
+                return F.struct(
+                    n.alias("n"), both.alias("both"), F.when(better, dice).otherwise(s["dice"]).alias("dice"),
+                    F.when(better, both).otherwise(s["shared"]).alias("shared"),
+                    F.when(better, x["i"]).otherwise(s["end"]).alias("end"),
+                )
+
+            def result(s: Column) -> Column:
+                return F.struct(
+                    (-s["shared"]).alias("fewer"), (-s["dice"]).alias("less"), a.alias("start"),
+                    t["name"].alias("name"), (s["end"] + 2).alias("until"),
+                )
+
+            return F.aggregate(F.slice(marked, a + 1, length), zero, step, result)
+
+        return run
+
+    def of_template(places: Column, t: Column) -> Column:
+        need, length = F.ceil(t["n"] * low).cast("int"), F.floor(t["length"] * high).cast("int")
+        marked = F.transform(
+            places,
+            lambda x: F.struct(x["i"].alias("i"), x["last"].alias("last"), F.array_contains(t["bigrams"], x["h"]).alias("own")),
+        )
+
+        def measured(m: Column) -> Column:
+            def enough(at: Column) -> Column:
+                starts = F.filter(at, lambda a, k: F.get(at, k + need - 1) - a < length)
+                return F.transform(starts, best_from(m, t, length))
+
+            return let(F.transform(F.filter(m, lambda x: x["own"]), lambda x: x["i"]), enough)
+
+        return F.filter(let(marked, measured), lambda c: -c["less"] >= threshold)
+
+    def candidates(pairs: Column) -> Column:
+        def near(common: Column) -> Column:
+            return F.filter(known, lambda t: F.size(F.array_intersect(common, t["bigrams"])) >= t["n"] * low)
+
+        def measured(some: Column) -> Column:
+            runs = let(placed(pairs), lambda q: F.flatten(F.transform(some, lambda t: of_template(q, t))))
+            return F.when(F.size(some) > 0, runs).otherwise(nothing)
+
+        return let(let(F.array_intersect(pairs, every), near), measured)
+
+    def told(lines: Column) -> Column:
+        """The words of the units that have a hit."""
+        def span(sizes: Column, h: Column) -> Column:
+            def until(n: Column) -> Column:
+                return F.aggregate(F.slice(sizes, 1, n), F.lit(0), lambda s, x: s + x)
+
+            whole = h["unit"] < 0
+            start = F.when(whole, 0).otherwise(until(F.greatest(h["unit"], F.lit(0))))
+            end = F.when(whole, until(F.size(sizes))).otherwise(until(F.greatest(h["unit"], F.lit(0)) + 1))
+            return F.struct(start.alias("start"), end.alias("until"))
+
+        sizes = F.transform(lines, lambda line: F.size(_words(line)))
+        return let(sizes, lambda z: F.transform("hits", lambda h: span(z, h)))
+
+    def chosen(found: Column) -> Column:
+        def fresh(c: Column, spans: Column) -> Column:
+            def half(u: Column) -> Column:
+                both = F.least(c["until"], u["until"]) - F.greatest(c["start"], u["start"])
+                return 2 * both >= c["until"] - c["start"]
+
+            return ~F.exists(spans, half)
+
+        def add(taken: Column, c: Column) -> Column:
+            met = F.exists(taken, lambda o: (c["start"] < o["until"]) & (o["start"] < c["until"]))
+            return F.when(met, taken).otherwise(F.concat(taken, F.array(c)))
+
+        new = let(told(lines_of(text_of())), lambda spans: F.filter(found, lambda c: fresh(c, spans)))
+        return F.when(F.size(found) > 0, F.aggregate(F.array_sort(new), nothing, add)).otherwise(nothing)
+
+    found = let(let(_pairs_of_text(), candidates), chosen)
+    shown = F.transform(
+        found,
+        lambda c: F.struct(c["name"].alias("name"), (-c["less"]).alias("dice"), c["start"].alias("start"), c["until"].alias("until")),
+    )
+    return scanned.select(*without(scanned, "passages"), shown.alias("passages"))
+
+
+def _pairs_of_text() -> Column:
+    return let(_words(text_of()), _pairs)
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: its hits, the licences they name and the best Dice."""
+    """Per document: its hits and passages, the licences they name and the best Dice.
+
+    The SQL below knows units only; on texts without passages both say the same.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return summary(passages(scan(docs)))
+
+
+def summary(scanned: DataFrame) -> DataFrame:
+    def short(hits: str) -> Column:
+        return F.transform(hits, lambda h: F.struct(h["name"].alias("name"), h["dice"].alias("dice")))
+
+    every = scanned.select("doc_id", F.concat(short("hits"), short("passages")).alias("hits"))
     names = F.array_sort(F.array_distinct(F.transform("hits", lambda h: F.split_part(h["name"], F.lit("/"), F.lit(1)))))
-    return scan(docs).select(
+    return every.select(
         "doc_id",
         F.size("hits").cast("long").alias("n_hits"),
         F.array_join(names, ",").alias("licences"),

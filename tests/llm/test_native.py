@@ -1,13 +1,14 @@
 """Chats, licences, mixtures and quality rules on hand-made rows; all of them stay in the JVM."""
 
 import re
+import textwrap
 from collections import Counter, defaultdict
 
 import pytest
 
 from enrolmeter.llm import registry
 from enrolmeter.llm.chat_format import CLOSE, OPEN, rotate
-from enrolmeter.llm.license_scan import TEMPLATES, scan
+from enrolmeter.llm.license_scan import PASSAGES, TEMPLATES, passages, scan, summary
 from enrolmeter.llm.mixing import mix
 from enrolmeter.llm.quality_rules import judge, statistics
 
@@ -100,6 +101,47 @@ def test_licences_against_brute_force(documents, awkward):
     assert found[31, rows[-6][1]][-1][:2] == (-1, "MIT/text")
 
 
+def brute_best(text, name):
+    """The greatest Dice of a run of words with a template, over all runs."""
+    words, known = re.findall(r"[^\W_]+", text.lower()), re.findall(r"[^\W_]+", PASSAGES[name].lower())
+    b, best = set(zip(known, known[1:])), 0
+    for i in range(len(words)):
+        a = set()
+        for pair in list(zip(words[i:], words[i + 1 :]))[: int((len(known) - 1) * 1.5 + 1e-6)]:
+            a.add(pair)
+            best = max(best, 2 * len(a & b) / (len(a) + len(b)))
+    return best
+
+
+def test_passages_over_lines_and_inside_them(documents):
+    def wrapped(name):
+        return "\n".join("# " + line for line in textwrap.wrap(PASSAGES[name], 60))
+
+    pad = "\n".join(f"x{i} = f(y{i}, of the {i})" for i in range(90))
+    blocks = ["MIT/text", "GPL-3.0/header", "LGPL-3.0/header", "Apache-2.0/header", "BSD-2-Clause/text", "BSD-3-Clause/text"]
+    blocks += ["GPL-2.0/header", "LGPL-2.1/header", "LGPL-3.0/text", "CC0-1.0/text"]
+    rows = [(i, f"{pad}\n{wrapped(name)}\n{pad}") for i, name in enumerate(blocks)]
+    rows.append((20, f"As said before, {TEMPLATES['CC-BY-4.0/work']} Nothing more {'is said here ' * 9}"))
+    rows.append((11, f"{pad}\n{wrapped('MIT/text')}\n{pad}\n{wrapped('MIT/text')}"))
+    broken = wrapped("MIT/text").replace("without", "with no").replace("copies", "prints").replace("merge", "and merge")
+    rows.append((12, f"{pad}\n{broken}\n{pad}"))
+    rows.append((13, f"{pad}\n{TEMPLATES['MIT/notice']}\n{pad}"))  # a line's hit: told once
+    rows.append((14, f"{pad} {TEMPLATES['MIT/text'][:500]} {pad}"))
+    docs = passages(scan(documents(rows)))
+    got = {r.doc_id: r for r in docs.collect()}
+    for i, name in enumerate(blocks):
+        (one,) = got[i].passages
+        assert one.name == name and one.dice == 1.0
+    assert [(p.name, p.dice) for p in got[20].passages] == [("CC-BY-4.0/work", 1.0)]
+    assert [p.name for p in got[11].passages] == ["MIT/text"] * 2
+    (one,) = got[12].passages
+    assert one.name == "MIT/text" and 0.8 <= one.dice < 1
+    assert abs(one.dice - brute_best(dict(rows)[12], "MIT/text")) < 1e-9
+    assert got[13].passages == [] and len(got[13].hits) == 1 and got[14].passages == []
+    told = {r.doc_id: r for r in summary(docs).collect()}
+    assert told[0].licences == "MIT" and told[11].n_hits == 2 and told[13].n_hits == 1 and told[14].licences == ""
+
+
 # --- mixtures ---------------------------------------------------------------------------------
 
 
