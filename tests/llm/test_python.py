@@ -170,6 +170,19 @@ def test_one_error_among_few_examples_takes_no_kind_away():
     assert {"email", "card"} <= set(judge.thresholds)
 
 
+def test_formats_without_digits_or_at_are_proposed(spark, documents):
+    class Sure:
+        probability = staticmethod(lambda x: np.ones(len(x)))
+
+    judge = pii.Judge(Sure, dict.fromkeys(pii.KINDS, 0.5))
+    rows = [(1, "write to ann (at) example (dot) com"), (2, "ann[at]example[dot]com"), (3, "password=correcthorse"), (4, "plain words")]
+    got = {r.doc_id: [(s.kind, r.text[s.start : s.end]) for s in r.spans] for r in pii.find(documents(rows), judge).collect()}
+    assert got == {
+        1: [("email", "ann (at) example (dot) com")], 2: [("email", "ann[at]example[dot]com")],
+        3: [("secret", "correcthorse")], 4: [],
+    }
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "é a@b.cd, 1.2.3.4!"), (2, None)], "doc_id long, text string")
     got = {r.doc_id: r.text for r in pii.redact(pii.find(docs, None)).collect()}
