@@ -11,8 +11,10 @@ Training is by back-propagation on the driver from a bounded sample: at most ``T
 labelled rows of each class, the first by a hash of their id, and at most ``TRAIN_CHUNKS`` chunks
 of each, spread evenly over the whole text; they are cut out on the executors, so the driver
 receives at most 2 x TRAIN_DOCS x TRAIN_CHUNKS x 520 bytes. Rows of the held-out fold are never
-taken. A fifth of the sample is kept from the filters and calibrates the probability to the
-class shares of all labelled rows outside the fold.
+taken. Only the filters rest on those chunks: with them the executors pool the features of every
+chunk of the sampled texts (3 x 21 numbers a text), and on these, as scoring has them, the layers after
+the filters are trained again. A fifth of the sample is kept from both and calibrates the probability,
+also on all chunks, to the class shares of all labelled rows outside the fold.
 
 Scoring covers every byte of every text in Arrow batches, ``SCORE_CHUNKS`` chunks at a time: the
 memory for a text does not depend on its length. The weights (some 150 kB) travel with the task.
@@ -24,7 +26,7 @@ score alike, other columns come back as they are.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -107,18 +109,33 @@ class ByteNet:
         filled = (chunks[:, :CHUNK] != PAD).sum(axis=1)
         return np.column_stack([features, (np.log1p(filled) / 3).astype(np.float32)])
 
-    def logits(self, features: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Raw output of texts whose chunks begin at ``starts``."""
+    @staticmethod
+    def pooled(features: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Mean, maximum and minimum of texts whose chunks begin at ``starts``."""
         counts = np.diff(np.append(starts, len(features)))[:, None]
-        pooled = np.hstack(
+        return np.hstack(
             [
                 np.add.reduceat(features, starts) / counts,
                 np.maximum.reduceat(features, starts),
                 np.minimum.reduceat(features, starts),
             ]
         )
+
+    def head(self, pooled: np.ndarray) -> np.ndarray:
         return np.tanh(pooled @ self.hidden + self.hidden_bias) @ self.out + self.out_bias[0]
 
+    def logits(self, features: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Raw output of texts whose chunks begin at ``starts``."""
+        return self.head(self.pooled(features, starts))
+
+    def head_gradients(self, pooled: np.ndarray, labels: np.ndarray) -> list[np.ndarray]:
+        """Of the mean log loss, for the layers after the filters."""
+        inner = np.tanh(pooled @ self.hidden + self.hidden_bias)
+        guess = 1 / (1 + np.exp(-np.clip(inner @ self.out + self.out_bias[0], -30, 30)))
+        error = ((guess - labels) / len(labels)).astype(np.float32)
+        d_inner = np.outer(error, self.out) * (1 - inner**2)
+        return [pooled.T @ d_inner, d_inner.sum(0), inner.T @ error, error.sum(keepdims=True)]
+
     def probability(self, logits: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.scale * logits.astype(float) + self.shift, -30, 30)))
 
@@ -157,36 +174,48 @@ def _stacked(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(texts), starts
 
 
-def fit(samples: list[np.ndarray], labels: np.ndarray, share: float) -> ByteNet:
-    """Train on chunked samples with labels 0 and 1; ``share`` is that of label 1 in the corpus."""
+def fit(
+    samples: list[np.ndarray], labels: np.ndarray, share: float, whole: Callable[[ByteNet], np.ndarray] | None = None
+) -> ByteNet:
+    """Train on chunked samples with labels 0 and 1; ``share`` is that of label 1 in the corpus.
+    ``whole`` pools the samples' texts over all their chunks; without it the samples are whole."""
     rng = np.random.default_rng(SEED)
     order = rng.permutation(len(samples))
     kept, learned = order[: len(order) // 5], order[len(order) // 5 :]
     net = ByteNet.fresh(rng)
-    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in net.parameters()]
+    _descend(net.parameters(), lambda some: net.gradients(*_stacked([samples[j] for j in some]), labels[some]), learned, rng, net.masked)
+    if whole is None:
+        chunks, starts = _stacked(samples)
+        _calibrate(net, net.pooled(net.features(chunks), starts)[kept], labels[kept], share)
+        return net
+    pooled = whole(net)
+    _descend(net.parameters()[1:], lambda some: net.head_gradients(pooled[some], labels[some]), learned, rng)
+    _calibrate(net, pooled[kept], labels[kept], share)
+    return net
+
+
+def _descend(parameters: list[np.ndarray], gradients, learned: np.ndarray, rng: np.random.Generator, after=lambda: None) -> None:
+    """EPOCHS rounds of Adam over batches of ``learned``."""
+    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in parameters]
     steps = 0
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)
         learned = rng.permutation(learned)
         for i in range(0, len(learned), BATCH):
-            some = learned[i : i + BATCH]
-            found = net.gradients(*_stacked([samples[j] for j in some]), labels[some])
+            found = gradients(learned[i : i + BATCH])
             steps += 1
-            for p, (m, v), g in zip(net.parameters(), moments, found):
+            for p, (m, v), g in zip(parameters, moments, found):
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
                 p -= (rate * (m / (1 - 0.9**steps)) / (np.sqrt(v / (1 - 0.99**steps)) + 1e-7)).astype(np.float32)
-            net.masked()
-    _calibrate(net, [samples[j] for j in kept], labels[kept], share)
-    return net
+            after()
 
 
-def _calibrate(net: ByteNet, samples: list[np.ndarray], labels: np.ndarray, share: float) -> None:
+def _calibrate(net: ByteNet, pooled: np.ndarray, labels: np.ndarray, share: float) -> None:
     """Scale and shift of the logit by Newton's method, each class weighted to its true share."""
     if len(set(labels.tolist())) < 2:
         return
-    chunks, starts = _stacked(samples)
-    x = net.logits(net.features(chunks), starts).astype(float)
+    x = net.head(pooled).astype(float)
     ones = labels == 1
     weight = np.where(ones, share / ones.sum(), (1 - share) / (~ones).sum())
     # Soft targets keep a clean split from driving the scale without bound.
@@ -227,17 +256,31 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> ByteNet
     # At most 2 x TRAIN_DOCS ids: a bounded side.
     chosen = F.broadcast(first[0].unionByName(first[1]).dropDuplicates(["doc_id"]))
     texts = docs.select("doc_id", text_of().alias("text")).where(F.col("text") != "")
+    sampled = texts.join(chosen, "doc_id").select("label", F.xxhash64("doc_id", "text").alias("place"), "text")
     rows = (
-        texts.join(chosen, "doc_id")
-        .select("label", F.xxhash64("doc_id", "text").alias("place"), "text")
-        .mapInPandas(_spread, "label int, place long, chunks binary")
+        sampled.mapInPandas(_spread, "label int, place long, chunks binary")
         .orderBy("place").limit(2 * TRAIN_DOCS).collect()
     )
     got = np.array([r["label"] for r in rows])
     if len(set(got.tolist())) < 2:
         return share
     samples = [np.frombuffer(r["chunks"], np.int16).reshape(-1, CHUNK + WIDTH - 1) for r in rows]
-    return fit(samples, got, share)
+
+    def whole(net: ByteNet) -> np.ndarray:
+        found = sampled.mapInPandas(_pooling(net), "place long, pooled array<float>")
+        by_place = dict(map(tuple, found.orderBy("place").limit(2 * TRAIN_DOCS).collect()))
+        return np.array([by_place[r["place"]] for r in rows], np.float32)
+
+    return fit(samples, got, share, whole)
+
+
+def _pooling(net: ByteNet):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [net.pooled(net.features(chunks_of(text)), np.array([0]))[0] for text in batch["text"]]
+            yield pd.DataFrame({"place": batch["place"], "pooled": rows})
+
+    return run
 
 
 def score(docs: DataFrame, model: ByteNet | float) -> DataFrame:

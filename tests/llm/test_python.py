@@ -207,6 +207,27 @@ def test_chunks_cover_every_window():
         assert len(chunks) == max(1, -(-n // quality_net.CHUNK))
 
 
+def test_layers_after_the_filters_learn_from_all_chunks(spark, documents, monkeypatch):
+    texts = {i: ("ab c" * 9000 if i % 2 else "x y." * 9000)[: 5000 * i] + f" {i} Q" for i in range(1, 8)}
+    labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, quality int")
+    seen, fit = [], quality_net.fit
+
+    def spied(samples, labels, share, whole=None):
+        def kept(net):
+            seen.append((net.features, whole(net), len(labels)))
+            return seen[-1][1]
+
+        return fit(samples, labels, share, kept)
+
+    monkeypatch.setattr(quality_net, "fit", spied)
+    quality_net.train(documents(list(texts.items())), labels)
+    ((features, pooled, n),) = seen
+    used = [features(quality_net.chunks_of(t)) for t in texts.values()]
+    expected = [quality_net.ByteNet.pooled(f, np.array([0]))[0] for f in used]
+    assert max(map(len, used)) > quality_net.TRAIN_CHUNKS and n == len(pooled)
+    assert all(min(np.abs(row - e).max() for e in expected) < 1e-4 for row in pooled)
+
+
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(3)
     net = quality_net.ByteNet.fresh(rng)
