@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, chat_format, license_scan, line_dedup, minmax_dedup, mixing, pii, pivot_topk, quality_net, quality_rules
+from . import (
+    bpe, chat_format, filter_audit, importance, lexicon_bpe, license_scan, line_dedup, minmax_dedup, mixing, pii,
+    pivot_topk, quality_net, quality_rules,
+)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -15,6 +18,9 @@ QUERIES = {
     "op8_byte_bpe": bpe.op8_byte_bpe,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_minmax_dedup": minmax_dedup.op10_minmax_dedup,
+    "op11_importance_draw": importance.op11_importance_draw,
+    "op12_lexicon_bpe": lexicon_bpe.op12_lexicon_bpe,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE,
@@ -23,4 +29,6 @@ ORACLES = {
     "op6_pivot_topk": pivot_topk.ORACLE,
     "op7_mix_sources": mixing.ORACLE,
     "op9_quality_rules": quality_rules.ORACLE,
+    "op11_importance_draw": importance.ORACLE,
+    "op13_filter_audit": filter_audit.ORACLE,
 }

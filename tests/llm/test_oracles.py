@@ -29,15 +29,15 @@ def test_query_equals_oracle(spark, duck, name):
     assert actual == Counter(result.fetchall()) and actual
 
 
-def test_ten_queries_in_order():
+def test_thirteen_queries_in_order():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 @pytest.fixture(scope="module")
 def empty_dir(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("empty")
-    for name in ("documents", "labels", "embeddings", "conversations"):
+    for name in ("documents", "labels", "embeddings", "conversations", "benchmark"):
         spark.read.parquet(f"{SMALL}/{name}.parquet").limit(0).write.parquet(f"{folder}/{name}.parquet")
     return str(folder)
 
