@@ -42,7 +42,7 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
+from pyspark.sql.functions import arrow_udf
 
 from .common import hex_sha256, table, text_of, without
 
@@ -54,6 +54,8 @@ LEAF_CHARS = 2048
 LEAF_BYTES = 8
 SHORT_BYTES = 48
 CACHED = 200_000
+#: Characters or ids that come back to Spark at once.
+PIECE = 1 << 19
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -255,64 +257,81 @@ def _codec(name: str, ranks, pattern: str) -> Codec:
     return _CODECS[name, pattern]
 
 
-def _mapped(df: DataFrame, source: str, target: StructField, convert) -> DataFrame:
-    """``df`` with one column made from another by Arrow batches; the rest passes through."""
-    schema = StructType([f for f in df.schema.fields if f.name.lower() not in {target.name, source}])
-    out = StructType([*schema.fields, target])
+def _ranks(spark: SparkSession, path: str):
+    return spark.sparkContext.broadcast(load_ranks(path))
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _coded(ranks, path: str, pattern: str, convert, returned: str):
+    """A function of one column that comes back in pieces: no other column goes to Python."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        codec = _codec(path, ranks, pattern)
         for batch in batches:
-            at = batch.schema.get_field_index(source)
-            made = convert(batch.column(at))
-            columns = [batch.column(batch.schema.get_field_index(f.name)) for f in schema.fields]
-            yield pa.RecordBatch.from_arrays([*columns, made], [*schema.names, target.name])
+            yield from convert(codec, batch)
 
-    return df.mapInArrow(run, out)
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    # Not deterministic to Spark: a filter on a result must not have it computed twice.
+    return arrow_udf(run, returned).asNondeterministic()
 
 
-def _ranks(spark: SparkSession, path: str):
-    return spark.sparkContext.broadcast(load_ranks(path))
+def _pieces(sizes: Iterator[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with some PIECE characters or ids together."""
+    start, size, stop = 0, 0, 0
+    for stop, more in enumerate(sizes, 1):
+        size += more
+        if size >= PIECE:
+            yield start, stop
+            start, size = stop, 0
+    if stop > start:
+        yield start, stop
 
 
-def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """``docs`` with ``ids``, the tokens of ``text`` by the rank file at ``path``."""
-    ranks = _ranks(docs.sparkSession, path)
+def _encoded(codec: Codec, texts: pa.Array) -> Iterator[pa.Array]:
+    sizes = pc.binary_length(texts).to_pylist()
+    for start, stop in _pieces(iter(sizes)):
+        lists = [np.array(codec.encode(text.as_py()), np.int32) for text in texts.slice(start, stop - start)]
+        offsets = np.cumsum([0, *map(len, lists)])
+        yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(lists)))
 
-    def convert(texts: pa.Array) -> pa.Array:
-        codec = _codec(path, ranks, pattern)
-        offsets, flat = [0], []
-        for text in texts:
-            ids = codec.encode(text.as_py())
-            flat.append(np.array(ids, np.int32))
-            offsets.append(offsets[-1] + len(ids))
-        ids = np.concatenate(flat) if flat else np.zeros(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))
 
-    target = StructField("ids", ArrayType(IntegerType()))
-    own = docs.select(*without(docs, "ids", "bpe_text"), text_of().alias("bpe_text"))
-    return _mapped(own, "bpe_text", target, convert)
+def _decoded(codec: Codec, ids: pa.Array) -> Iterator[pa.Array]:
+    sizes = pc.list_value_length(ids).fill_null(0).to_pylist()
+    for start, stop in _pieces(iter(sizes)):
+        some = ids.slice(start, stop - start)
+        flat = some.flatten().to_numpy(zero_copy_only=False)
+        stops = np.cumsum([0, *sizes[start:stop]])
+        yield pa.array([codec.decode(flat[a:b].tolist()) for a, b in zip(stops, stops[1:])], pa.binary())
+
+
+def _both(codec: Codec, texts: pa.Array) -> Iterator[pa.Array]:
+    for ids in _encoded(codec, texts):
+        decoded = pa.concat_arrays(list(_decoded(codec, ids)))
+        yield pa.StructArray.from_arrays([ids, decoded], ["ids", "decoded"])
+
+
+def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """``docs`` with ``ids``, the tokens of ``text`` by the rank file at ``path``."""
+    code = _coded(_ranks(docs.sparkSession, path), path, pattern, _encoded, "array<int>")
+    return docs.select(*without(docs, "ids"), code(text_of()).alias("ids"))
 
 
 def decode(encoded: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """``encoded`` with ``decoded``, the bytes that the tokens in ``ids`` stand for."""
-    ranks = _ranks(encoded.sparkSession, path)
+    code = _coded(_ranks(encoded.sparkSession, path), path, pattern, _decoded, "binary")
+    return encoded.select(*without(encoded, "decoded"), code(F.col("ids")).alias("decoded"))
 
-    def convert(ids: pa.Array) -> pa.Array:
-        codec = _codec(path, ranks, pattern)
-        flat = ids.flatten().to_numpy(zero_copy_only=False)
-        stops = np.cumsum(pc.list_value_length(ids).fill_null(0).to_numpy(zero_copy_only=False))
-        starts = np.append(0, stops[:-1])
-        made = [codec.decode(flat[a:b].tolist()) for a, b in zip(starts, stops)]
-        return pa.array(made, pa.binary())
 
-    own = encoded.select(*without(encoded, "decoded", "bpe_ids"), F.col("ids").alias("bpe_ids"))
-    return _mapped(own, "bpe_ids", StructField("decoded", BinaryType()), convert)
+def round_trip(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """``docs`` with ``ids`` and what these decode to, ``decoded``, by one worker and in one pass."""
+    code = _coded(_ranks(docs.sparkSession, path), path, pattern, _both, "ids array<int>, decoded binary")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), code(text_of()).alias("coded"))
+    return rows.select(*(f"row.{c}" for c in without(docs, "ids", "decoded")), "coded.ids", "coded.decoded")
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = decode(encode(docs, path).select("doc_id", "ids"), path)
+    coded = round_trip(docs, path)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -8,11 +8,11 @@ hidden layer to a single probability. A chunk of a few words repeated excites fe
 prose does, so repetition shows as well as odd characters do.
 
 Training is by back-propagation on the driver from a bounded sample: at most ``TRAIN_DOCS``
-labelled rows of each class, the first by a hash of their id, and at most ``TRAIN_CHUNKS`` chunks
-of each, spread evenly over the whole text; they are cut out on the executors, so the driver
-receives at most 2 x TRAIN_DOCS x TRAIN_CHUNKS x 520 bytes. Rows of the held-out fold are never
-taken. Only the filters rest on those chunks: with them the executors pool the features of every
-chunk of the sampled texts (3 x 21 numbers a text), and on these, as scoring has them, the layers after
+labelled rows of each class, the first by a hash of their id. Filters learn from the whole texts of
+those rows that together fit into ``TRAIN_CHUNKS`` chunks of a class, taken in the same order; the driver
+receives at most 2 x TRAIN_CHUNKS x 1,034 bytes of them. Rows of the held-out fold are never
+taken. With the filters the executors then pool the features of every chunk of all sampled texts, however
+long (3 x 21 numbers a text), and on these, as scoring has them, the layers after
 the filters are trained again. A fifth of the sample is kept from both and calibrates the probability,
 also on all chunks, to the class shares of all labelled rows outside the fold.
 
@@ -20,27 +20,28 @@ Scoring covers every byte of every text in Arrow batches, ``SCORE_CHUNKS`` chunk
 memory for a text does not depend on its length. The weights (some 150 kB) travel with the task.
 
 Defined cases: null or empty text scores 0. Without labels of both classes every other text
-scores the smoothed share of label 1 (0.5 without any). A null id is not held out. Repeated rows
-score alike, other columns come back as they are.
+scores the smoothed share of label 1 (0.5 without any). An id labelled both 0 and 1 teaches nothing. A
+null id is not held out. Repeated rows score alike, other columns come back as they are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.functions import arrow_udf
 
 from .common import table, text_of, without
 
 CHUNK, WIDTH, FILTERS, HIDDEN = 512, 6, 20, 16
 LANES = FILTERS + 1
 PAD = 256
-TRAIN_DOCS, TRAIN_CHUNKS = 1000, 16
+TRAIN_DOCS, TRAIN_CHUNKS = 1000, 12_000
 SCORE_CHUNKS = 256
 EPOCHS, BATCH, RATE, SEED = 14, 64, 0.01, 11
 THRESHOLD = 0.7
@@ -141,9 +142,12 @@ class ByteNet:
 
     def gradients(self, chunks: np.ndarray, starts: np.ndarray, labels: np.ndarray) -> list[np.ndarray]:
         """Of the mean log loss, in the order of ``parameters``."""
-        responses = self.responses(chunks)
-        where = responses.argmax(axis=1)
-        raw = np.take_along_axis(responses, where[:, None], axis=1)[:, 0]
+        places, tops = [], []
+        for i in range(0, len(chunks), SCORE_CHUNKS):
+            responses = self.responses(chunks[i : i + SCORE_CHUNKS])
+            places.append(responses.argmax(axis=1))
+            tops.append(np.take_along_axis(responses, places[-1][:, None], axis=1)[:, 0])
+        where, raw = np.concatenate(places), np.concatenate(tops)
         features = self.with_fill(np.maximum(raw, -8), chunks)
         counts = np.diff(np.append(starts, len(chunks)))
         owner = np.repeat(np.arange(len(starts)), counts)
@@ -175,10 +179,11 @@ def _stacked(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(
-    samples: list[np.ndarray], labels: np.ndarray, share: float, whole: Callable[[ByteNet], np.ndarray] | None = None
+    samples: list[np.ndarray], labels: np.ndarray, share: float,
+    whole: Callable[[ByteNet], tuple[np.ndarray, np.ndarray]] | None = None,
 ) -> ByteNet:
     """Train on chunked samples with labels 0 and 1; ``share`` is that of label 1 in the corpus.
-    ``whole`` pools the samples' texts over all their chunks; without it the samples are whole."""
+    ``whole`` gives pooled features and labels of more texts, for the layers after the filters."""
     rng = np.random.default_rng(SEED)
     order = rng.permutation(len(samples))
     kept, learned = order[: len(order) // 5], order[len(order) // 5 :]
@@ -188,7 +193,9 @@ def fit(
         chunks, starts = _stacked(samples)
         _calibrate(net, net.pooled(net.features(chunks), starts)[kept], labels[kept], share)
         return net
-    pooled = whole(net)
+    pooled, labels = whole(net)
+    order = rng.permutation(len(labels))
+    kept, learned = order[: len(order) // 5], order[len(order) // 5 :]
     _descend(net.parameters()[1:], lambda some: net.head_gradients(pooled[some], labels[some]), learned, rng)
     _calibrate(net, pooled[kept], labels[kept], share)
     return net
@@ -229,21 +236,28 @@ def _calibrate(net: ByteNet, pooled: np.ndarray, labels: np.ndarray, share: floa
     net.scale, net.shift = float(max(beta[0], 0.05)), float(beta[1])
 
 
-def _spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = []
-        for text in batch["text"]:
-            chunks = chunks_of(text)
-            picked = np.unique(np.linspace(0, len(chunks) - 1, TRAIN_CHUNKS).astype(int))
-            rows.append(np.ascontiguousarray(chunks[picked]).tobytes())
-        yield pd.DataFrame({"label": batch["label"], "place": batch["place"], "chunks": rows})
+        rows = [np.ascontiguousarray(chunks_of(text)).tobytes() for text in batch["text"]]
+        yield pd.DataFrame({"place": batch["place"], "chunks": rows})
+
+
+def _within(rows: list) -> dict[int, int]:
+    """Place and label of the rows whose whole texts fit into TRAIN_CHUNKS chunks of their class."""
+    taken, room = {}, {0: TRAIN_CHUNKS, 1: TRAIN_CHUNKS}
+    for row in rows:
+        if row["n"] <= room[row["label"]] and row["place"] not in taken:
+            room[row["label"]] -= row["n"]
+            taken[row["place"]] = row["label"]
+    return taken
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> ByteNet | float:
     """A network, or the share of label 1 where there is nothing to tell apart."""
     usable = labels.where(
         F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col("doc_id"))
-    ).select("doc_id", F.col(label).cast("int").alias("label"))
+    ).groupBy("doc_id").agg(F.min(label).cast("int").alias("label"), F.max(label).cast("int").alias("most"))
+    usable = usable.where(F.col("label") == F.col("most")).drop("most")
     counted = {r["label"]: r["count"] for r in usable.groupBy("label").count().collect()}
     bad, good = counted.get(0, 0), counted.get(1, 0)
     share = (good + 1) / (bad + good + 2)
@@ -254,54 +268,62 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> ByteNet
         for kind in (0, 1)
     ]
     # At most 2 x TRAIN_DOCS ids: a bounded side.
-    chosen = F.broadcast(first[0].unionByName(first[1]).dropDuplicates(["doc_id"]))
+    chosen = F.broadcast(first[0].unionByName(first[1]))
     texts = docs.select("doc_id", text_of().alias("text")).where(F.col("text") != "")
     sampled = texts.join(chosen, "doc_id").select("label", F.xxhash64("doc_id", "text").alias("place"), "text")
-    rows = (
-        sampled.mapInPandas(_spread, "label int, place long, chunks binary")
-        .orderBy("place").limit(2 * TRAIN_DOCS).collect()
-    )
-    got = np.array([r["label"] for r in rows])
-    if len(set(got.tolist())) < 2:
+    n = F.ceil(F.octet_length("text") / CHUNK).cast("long").alias("n")
+    # Rows, whole texts and pooled features of a bounded sample, in the order of their hash.
+    rows = sampled.select("label", "place", n).orderBy("place").limit(2 * TRAIN_DOCS).collect()
+    taken = _within(rows)
+    if len(set(taken.values())) < 2:
         return share
-    samples = [np.frombuffer(r["chunks"], np.int16).reshape(-1, CHUNK + WIDTH - 1) for r in rows]
+    # A bounded side again: the places that fit.
+    some = F.broadcast(docs.sparkSession.createDataFrame([(p,) for p in taken], "place long"))
+    cut = sampled.select("place", "text").join(some, "place", "left_semi")
+    got = cut.mapInPandas(_cut, "place long, chunks binary").dropDuplicates(["place"]).collect()
+    chunks = {r["place"]: np.frombuffer(r["chunks"], np.int16).reshape(-1, CHUNK + WIDTH - 1) for r in got}
+    places = sorted(chunks)
 
-    def whole(net: ByteNet) -> np.ndarray:
-        found = sampled.mapInPandas(_pooling(net), "place long, pooled array<float>")
-        by_place = dict(map(tuple, found.orderBy("place").limit(2 * TRAIN_DOCS).collect()))
-        return np.array([by_place[r["place"]] for r in rows], np.float32)
+    def whole(net: ByteNet) -> tuple[np.ndarray, np.ndarray]:
+        pooled = sampled.mapInPandas(_pooling(net), "place long, label int, pooled array<float>")
+        every = pooled.orderBy("place").limit(2 * TRAIN_DOCS).collect()
+        return np.array([r["pooled"] for r in every], np.float32), np.array([r["label"] for r in every])
 
-    return fit(samples, got, share, whole)
+    return fit([chunks[p] for p in places], np.array([taken[p] for p in places]), share, whole)
 
 
 def _pooling(net: ByteNet):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [net.pooled(net.features(chunks_of(text)), np.array([0]))[0] for text in batch["text"]]
-            yield pd.DataFrame({"place": batch["place"], "pooled": rows})
+            yield pd.DataFrame({"place": batch["place"], "label": batch["label"], "pooled": rows})
 
     return run
 
 
-def score(docs: DataFrame, model: ByteNet | float) -> DataFrame:
-    """``docs`` with ``score``, the probability of label 1."""
-    own = docs.select(*without(docs, "score", "net_text"), text_of().alias("net_text"))
-    schema = StructType([*own.schema.fields[:-1], StructField("score", DoubleType())])
+def probability(model: ByteNet | float) -> Column:
+    """The probability of label 1 of ``text``: one column goes to Python, one number a row comes back."""
+    text = text_of()
+    if isinstance(model, float):
+        return F.when(text == "", 0.0).otherwise(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            batch["score"] = _scores(batch.pop("net_text"), model)
-            yield batch
+            yield pa.array(_scores((t.as_py() for t in batch), model), pa.float64())
 
-    if isinstance(model, float):
-        constant = F.when(F.col("net_text") == "", 0.0).otherwise(model)
-        return own.withColumn("score", constant).drop("net_text")
-    return own.mapInPandas(run, schema)
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    # Not deterministic to Spark: a filter on the score must not have it computed twice.
+    return arrow_udf(run, "double").asNondeterministic()(text)
+
+
+def score(docs: DataFrame, model: ByteNet | float) -> DataFrame:
+    """``docs`` with ``score``, the probability of label 1."""
+    return docs.select(*without(docs, "score"), probability(model).alias("score"))
 
 
-def _scores(texts: pd.Series, net: ByteNet) -> np.ndarray:
+def _scores(texts: Iterable[str], net: ByteNet) -> np.ndarray:
     """Chunks of several texts are filtered together, at most SCORE_CHUNKS at a time."""
-    features, counts, waiting, size = [], [], [], 0
+    features, counts, empty, waiting, size = [], [], [], [], 0
 
     def flush() -> None:
         nonlocal waiting, size
@@ -312,6 +334,7 @@ def _scores(texts: pd.Series, net: ByteNet) -> np.ndarray:
     for text in texts:
         chunks = chunks_of(text)
         counts.append(len(chunks))
+        empty.append(not text)
         for i in range(0, len(chunks), SCORE_CHUNKS):
             waiting.append(chunks[i : i + SCORE_CHUNKS])
             size += len(waiting[-1])
@@ -322,7 +345,7 @@ def _scores(texts: pd.Series, net: ByteNet) -> np.ndarray:
         return np.zeros(0)
     starts = np.cumsum([0, *counts[:-1]])
     scores = net.probability(net.logits(np.concatenate(features), starts))
-    return np.where((texts == "").to_numpy(), 0.0, scores)
+    return np.where(empty, 0.0, scores)
 
 
 def op5_quality_net(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from collections import Counter
 import duckdb
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from enrolmeter.llm import mixing, quality_net
@@ -80,6 +81,25 @@ def test_tokens_are_those_of_the_library(stages):
     assert rows(after) == rows(before)
 
 
+CLASHING = ("score", "n_lines", "n_dropped", "kept", "n_shingles", "component_id", "copy", "shuffle_key", "row")
+
+
+def test_columns_of_the_input_outlive_every_stage(spark, stages):
+    """Names that operators add, as columns of other use."""
+    docs = stages[0][0].select("*", *(F.concat(F.lit(f"{c}:"), F.col("doc_id")).alias(c) for c in CLASHING))
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs.limit(60), SMALL)
+        got = docs.collect()
+        assert got and all(r[c] == f"{c}:{r.doc_id}" for r in got for c in CLASHING)
+        docs = spark.createDataFrame(got, docs.schema)
+
+
+def test_empty_tables_pass_through(spark, tmp_path):
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{SMALL}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
 def test_run_is_the_stages_in_a_row(spark, stages):
     got = corpus_pipeline.run(spark, SMALL)
     assert got.columns == stages[-1][1].columns

@@ -2,6 +2,8 @@
 
 import hashlib
 import re
+import time
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -214,20 +216,95 @@ def test_layers_after_the_filters_learn_from_all_chunks(spark, documents, monkey
 
     def spied(samples, labels, share, whole=None):
         def kept(net):
-            seen.append((net.features, whole(net), len(labels)))
+            seen.append((net.features, whole(net), samples))
             return seen[-1][1]
 
         return fit(samples, labels, share, kept)
 
     monkeypatch.setattr(quality_net, "fit", spied)
+    monkeypatch.setattr(quality_net, "TRAIN_CHUNKS", 60)
     quality_net.train(documents(list(texts.items())), labels)
-    ((features, pooled, n),) = seen
+    ((features, (pooled, of_class), samples),) = seen
     used = [features(quality_net.chunks_of(t)) for t in texts.values()]
     expected = [quality_net.ByteNet.pooled(f, np.array([0]))[0] for f in used]
-    assert max(map(len, used)) > quality_net.TRAIN_CHUNKS and n == len(pooled)
+    # Filters learn from whole texts that fit into the bound, the layers after them from all.
+    sizes, taught = sorted(map(len, used)), [i % 2 for i in texts if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert 2 <= len(samples) < len(pooled) == len(taught) and sizes[-1] > 60
+    assert all(len(s) in sizes for s in samples) and sum(map(len, samples)) <= 2 * 60
+    assert sorted(of_class.tolist()) == sorted(taught)
     assert all(min(np.abs(row - e).max() for e in expected) < 1e-4 for row in pooled)
 
 
+def test_an_id_with_both_labels_teaches_nothing(spark, documents):
+    labels = spark.createDataFrame([(1, 0), (1, 1), (3, 1), (3, 1)], "doc_id long, quality int")
+    assert quality_net.train(documents([(1, "a b"), (3, "c d")]), labels) == 2 / 3
+
+
+def plain_score(net, text):
+    """The forward pass written as loops over places, filters and chunks."""
+    data = text.encode()
+    if not data:
+        return 0.0
+    rows = []
+    for at in range(0, len(data), quality_net.CHUNK):
+        best = [-8.0] * quality_net.FILTERS
+        for place in range(at, min(at + quality_net.CHUNK, len(data))):
+            window = [data[place + k] if place + k < len(data) else quality_net.PAD for k in range(quality_net.WIDTH)]
+            for f in range(quality_net.FILTERS):
+                best[f] = max(best[f], float(sum(net.filters[k, b, f] for k, b in enumerate(window))))
+        rows.append([*best, np.log1p(min(quality_net.CHUNK, len(data) - at)) / 3])
+    lanes = list(zip(*rows))
+    pooled = [sum(x) / len(x) for x in lanes] + [max(x) for x in lanes] + [min(x) for x in lanes]
+    inner = [
+        np.tanh(sum(p * w for p, w in zip(pooled, net.hidden[:, j])) + net.hidden_bias[j])
+        for j in range(quality_net.HIDDEN)
+    ]
+    raw = sum(i * w for i, w in zip(inner, net.out)) + net.out_bias[0]
+    return 1 / (1 + np.exp(-(net.scale * raw + net.shift)))
+
+
+def test_quality_query_against_plain_loops(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    net = quality_net.train(docs, spark.read.parquet(f"{SMALL}/labels.parquet"))
+    assert isinstance(net, quality_net.ByteNet)
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    rows = quality_net.op5_quality_net(spark, SMALL).collect()
+    assert len(rows) == len(texts)
+    assert all(r.predicted == (r.score >= 0.7) and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    short = sorted(rows, key=lambda r: (len(texts[r.doc_id]), r.doc_id))
+    for row in [*short[:4], *(r for r in short if 600 < len(texts[r.doc_id]) < 1600)][:9]:
+        assert row.score == pytest.approx(plain_score(net, texts[row.doc_id]), abs=1e-4)
+
+
+def test_byte_bpe_query_against_the_library(spark):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    rows = bpe.op8_byte_bpe(spark, SMALL).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        ids = LIBRARY.encode_ordinary(texts[row.doc_id])
+        digests = [hashlib.sha256(x).hexdigest() for x in (",".join(map(str, ids)).encode(), LIBRARY.decode_bytes(ids))]
+        assert [row.n_tokens, row.ids_sha256, row.decoded_sha256] == [len(ids), *digests]
+
+
+def test_near_duplicate_query_against_exact_search(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    rows = minmax_dedup.op10_minmax_dedup(spark, SMALL).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in rows) == sorted(brute_groups(docs, 4))
+
+
+def test_many_spans_of_one_text_take_linear_time():
+    """Overlaps are looked up in order, not against all that is taken."""
+    judge = pii.Judge(None, {"secret": 0.0})
+    text = " ".join(f"token: a{i:09d}bcdefgh x@y.z" for i in range(16000))
+    judge.model = type("Sure", (), {"probability": staticmethod(lambda x: np.ones(len(x)))})()
+    base = pii.base_spans(text)
+    start = time.process_time()
+    found = judge.accepted(text, base)
+    assert len(found) == 16000 == len(base) and time.process_time() - start < 20
+    spans = sorted(s[1:3] for s in [*found, *base])
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(3)
     net = quality_net.ByteNet.fresh(rng)
