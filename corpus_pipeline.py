@@ -25,32 +25,42 @@ from enrolmeter.llm.common import scratch, table, text_of, without, written
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+#: What the operators of the stages read. All else passes under names that they do not use.
+READ = ("doc_id", "text", "source")
+
+
+def _apart(docs: DataFrame, operator: Callable[[DataFrame], DataFrame], *added: str) -> DataFrame:
+    """The columns of ``docs``, and ``added`` ones, after an operator that adds columns of its own."""
+    names = {c: c if c in READ else f"own_column_{i}" for i, c in enumerate(docs.columns)}
+    done = operator(docs.select(*(F.col(f"`{c}`").alias(name) for c, name in names.items())))
+    return done.select(*(F.col(name).alias(c) for c, name in names.items()), *added)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality_net.train(docs, table(spark, sf_dir, "labels"))
-    good = quality_net.score(docs, model).where(F.col("score") >= quality_net.THRESHOLD)
-    return good.select(*without(docs))
+    return docs.where(quality_net.probability(model) >= quality_net.THRESHOLD)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = line_dedup.dedup_lines(docs)
+    kept = _apart(docs, line_dedup.dedup_lines)
     length = F.char_length("text").cast("long")
-    return kept.withColumn("n_chars", length).select(*without(docs))
+    return kept.withColumn("n_chars", length) if "n_chars" in docs.columns else kept
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minmax_dedup.group_near_duplicates(docs).where("kept").select(*without(docs))
+    return _apart(docs, lambda d: minmax_dedup.group_near_duplicates(d).where("kept"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs, mixing.WEIGHTS, mixing.REST).select(*without(docs))
+    return _apart(docs, lambda d: mixing.mix(d, mixing.WEIGHTS, mixing.REST))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(bpe.VOCABULARY)
-    coded = bpe.decode(bpe.encode(docs, path), path)
+    coded = bpe.round_trip(docs.select(F.struct(*docs.columns).alias("row"), "text"), public_tokenizers.path(bpe.VOCABULARY))
     same = F.col("decoded") == text_of().cast("binary")
+    own = without(docs, "n_tokens", "ids", "round_trip")
     return coded.select(
-        *without(docs), F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip")
+        *(f"row.{c}" for c in own), F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip")
     )
 
 
