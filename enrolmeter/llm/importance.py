@@ -252,9 +252,11 @@ def draw(scored: DataFrame, percent: int = PERCENT, least_words: int = LEAST_WOR
     own = without(scored, "rank", "row_at", "takes_part")
     takes_part = F.coalesce((F.col("n_words") >= least_words) & F.col("score").isNotNull(), F.lit(False))
     order = [F.desc("takes_part"), F.desc("score"), F.col("doc_id").asc(), F.col("n_features").asc()]
-    rows = scored.select(*own, takes_part.alias("takes_part")).orderBy(*order)
+    folder = scratch(spark, "drawn")
+    # A table first: a sort by range looks at its input twice, and texts are weighed once.
+    rows = written(scored.select(*own, takes_part.alias("takes_part")), f"{folder}/scored").orderBy(*order)
     # The number of the partition, and that of the row in it, as the sort has left them.
-    rows = written(rows.withColumn("row_at", F.monotonically_increasing_id()), scratch(spark, "drawn"))
+    rows = written(rows.withColumn("row_at", F.monotonically_increasing_id()), f"{folder}/sorted")
     part, inside = F.shiftright("row_at", 33), F.col("row_at").bitwiseAND((1 << 33) - 1)
     parts = rows.groupBy(part.alias("part")).agg(
         F.count("*").alias("n"), F.sum(F.col("takes_part").cast("long")).alias("fit")

@@ -28,11 +28,11 @@ the same names as the results are replaced, others come back as they are.
 
 from __future__ import annotations
 
-import hashlib
 import heapq
 import json
 import os
 import tempfile
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
@@ -434,7 +434,7 @@ def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, pattern: str, most: i
     words = frequent_words(docs, vocabulary, pattern, most)
     sizes, ids = vocabulary.merge_all(words)
     array = compiled(dict(zip(words, np.split(ids, np.cumsum(sizes)[:-1]))))
-    name = f"lexicon-{hashlib.sha256(array.tobytes()).hexdigest()[:24]}.npy"
+    name = f"lexicon-{uuid.uuid4().hex}.npy"  # Spark refuses a known name from another folder
     path = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), name)
     np.save(path, array)
     docs.sparkSession.sparkContext.addFile(path)
@@ -458,6 +458,8 @@ class Tokenizer:
 
         def coder() -> Coder:
             if (name, pattern) not in _CODERS:
+                if len(_CODERS) >= 4:
+                    _CODERS.clear()
                 _CODERS[name, pattern] = Coder(shared.value, Lexicon.mapped(SparkFiles.get(name)), pattern)
             return _CODERS[name, pattern]
 
