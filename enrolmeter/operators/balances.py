@@ -188,6 +188,52 @@ def balance_by_value(
     )
 
 
+VALUE = ("value_monto", "value_saldo")
+
+
+def valued_totals(
+    lines: DataFrame, balances: Sequence[Balance], by_value: Balance, keys: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """All balances per key, and the by-value balance's rows, from one grouping of the lines.
+
+    Keys that have lines in the by-value balance alone count as keys with lines.
+    Lines are grouped by key and value (NULL where ``by_value`` does not take the line); every
+    measure is a sum or a maximum, so grouping those rows by key alone gives the totals. The second
+    table has its keys and the totals' names with the prefix ``own_``, so that a caller who reads
+    both keeps them from being pruned: only equal plans share one scan and one shuffle.
+    """
+    covers = by_value.covers()
+    taken = F.lit(True) if covers is None else F.coalesce(covers, F.lit(False))
+    latest = [m for m in _measures(by_value, receipt=False) if by_value.payments != "none"][3:]
+    measures = [m for b in balances for m in _measures(b, receipt=False)]
+    valued = lines.select(
+        "*", F.when(taken, F.col("monto")).alias(VALUE[0]), F.when(taken, F.col("saldo")).alias(VALUE[1])
+    )
+    groups = valued.groupBy(*keys, *VALUE).agg(
+        *measures, *latest,
+        F.max(taken.cast("int")).alias("has_values"),
+    )
+    of_values = {f"{by_value.name}_fecha"} if latest else set()
+    names = [c for c in groups.columns if c not in {*keys, *VALUE, *of_values}]
+
+    def whole(name: str) -> Column:
+        if name.endswith(("_monto", "_cancelado", "_saldo")):
+            return F.sum(name).cast(TOTAL).alias(name)
+        return F.max(name).alias(name)
+
+    # The latest payments of values belong to these; their maximum is asked for to keep both plans equal.
+    totals = groups.groupBy(*keys).agg(
+        *map(whole, names), *(F.max(c).alias(f"any_{c}") for c in sorted(of_values))
+    )
+    values = groups.where(F.col("has_values") == 1).select(
+        *keys,
+        *(F.col(c).alias(f"own_{c}") for c in names),
+        *sorted(of_values),
+        *(F.col(v).cast(TOTAL).alias(f"{by_value.name}_{m}") for v, m in zip(VALUE, ("monto", "saldo"))),
+    )
+    return totals, values
+
+
 def reduced_payments(
     tables: Tables, balances: Sequence[Balance], receipt: bool = False
 ) -> DataFrame | None:

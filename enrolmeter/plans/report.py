@@ -1,8 +1,7 @@
 """One pipeline for every unit report.
 
-Each fact table is scanned and shuffled once per report. The exception is the one report that
-keeps a balance per distinct value: it groups that balance apart, so it scans enrolments and
-instalments twice (projections differ, and Spark reuses only equal exchanges) and payments once.
+Each fact table is scanned and shuffled once per report. A report that keeps a balance per distinct
+value groups by enrolment and value first, then those rows by enrolment; both read one shuffle.
 
 1. enrolments of the unit's programs, as fixed-width columns (program side broadcast if
    Spark finds it small);
@@ -17,7 +16,6 @@ instalments twice (projections differ, and Spark reuses only equal exchanges) an
 
 from __future__ import annotations
 
-from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -25,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels
 from ..functions.rules import within_period
-from ..operators.balances import ENROLMENT, balance_by_value, balance_totals, paid_lines
+from ..operators.balances import ENROLMENT, balance_totals, paid_lines, valued_totals
 from ..operators.star import (
     attach_category,
     attach_people,
@@ -115,30 +113,21 @@ def with_balances(
     All of them meet balances that are grouped by the id alone, one row each, so that an
     enrolment with very many lines is reduced before the outer join, which could not split it.
     """
-    has_values = []
-    if spec.by_value is not None:
-        has_values.append(F.max(F.when(spec.by_value.covers(), 1).otherwise(0)).alias("has_values"))
     if complete:
-        lines = tables["plan_pagos"].withColumnRenamed(ENROLMENT, ID)
-        totals = balance_totals(
-            paid_lines(tables, spec.balances, lines), spec.balances, (ID,), extra=has_values
-        )
-        rows = enrolments.join(totals, ID, "left")
-        if has_values:
-            rows = rows.fillna(0, ["has_values"])
+        lines, keys = tables["plan_pagos"].withColumnRenamed(ENROLMENT, ID), [ID]
     else:
-        lines = paid_lines(tables, spec.balances, _lines_of(tables, enrolments))
-        rows = balance_totals(lines, spec.balances, enrolments.columns, extra=has_values)
+        lines, keys = _lines_of(tables, enrolments), enrolments.columns
     if spec.by_value is None:
-        return rows
-    # The values need only the enrolments' ids: no category, no course flag.
-    bare = unit_enrolments(tables, replace(spec, category=False, course=None)).select(ID)
-    lines = paid_lines(tables, (spec.by_value,), _lines_of(tables, bare))
-    if spec.by_value.payments == "raw":
-        # True of every line. It asks for the count as the totals do, so that both sides reduce
-        # payments in equal plans and Spark runs that part once.
-        lines = lines.where(F.coalesce("n_pagos", F.lit(1)) > 0)
-    return _once_per_value(rows, balance_by_value(lines, spec.by_value, (ID,)))
+        totals = balance_totals(paid_lines(tables, spec.balances, lines), spec.balances, keys)
+        return enrolments.join(totals, ID, "left") if complete else totals
+    if not complete:
+        # The report's inner join with students would drop these from one of the two sides only,
+        # and the grouping would no longer be the same for both.
+        lines = lines.where(F.col("idestudiante").isNotNull())
+    lines = paid_lines(tables, (*spec.balances, spec.by_value), lines)
+    totals, values = valued_totals(lines, spec.balances, spec.by_value, keys)
+    rows = enrolments.join(totals, ID, "left").fillna(0, ["has_values"]) if complete else totals
+    return _once_per_value(rows, values)
 
 
 def _lines_of(tables: Tables, enrolments: DataFrame) -> DataFrame:
@@ -150,11 +139,23 @@ def _once_per_value(rows: DataFrame, values: DataFrame) -> DataFrame:
 
     An outer join would put all values of one enrolment into one task: only its preserved
     side can be split. So enrolments with values are joined inner, where either side can,
-    and those without are added. Both halves read the same shuffled grouping.
+    and those without are added. All three read the same shuffled grouping, which stays one
+    only while they ask for the same columns of it. Hence the ``own_`` columns: a value's share
+    of a total is NULL where the total is, so it never shows behind it.
     """
+    shares = [c for c in values.columns if c.startswith("own_")]
+    found = values.select(ID, *shares, *(c for c in values.columns if c not in {*rows.columns, *shares}))
+    kept = [c for c in rows.columns if not c.startswith("any_") and c != "has_values"]
     without = rows.where(F.col("has_values") == 0)
-    matched = rows.where(F.col("has_values") == 1).join(values, ID)
-    return matched.unionByName(without, allowMissingColumns=True).drop("has_values")
+    matched = rows.where(F.col("has_values") == 1).join(found, ID)
+    # The latest payment of all values: of enrolments without any it is NULL, as it must be.
+    for mark in (c for c in rows.columns if c.startswith("any_")):
+        matched = matched.withColumn(mark[4:], F.coalesce(mark[4:], F.when(F.col(mark).isNull(), F.col(mark))))
+        without = without.withColumnRenamed(mark, mark[4:])
+    return matched.select(
+        *(F.coalesce(F.col(c), F.col(f"own_{c}")).alias(c) if f"own_{c}" in shares else c for c in kept),
+        *(c for c in found.columns if c not in {ID, *shares}),
+    ).unionByName(without.drop("has_values"), allowMissingColumns=True)
 
 
 def _order(spec: UnitSpec) -> list[Column]:

@@ -59,12 +59,10 @@ def test_each_fact_is_scanned_once(stored, conf, name):
     df = report(stored, spec, START, END)
     df.collect()
     plan = executed(df)
-    # The by-value balance is grouped apart, over payments reduced once. Enrolments with and
-    # without such values read one and the same grouping.
-    times = 2 if spec.by_value else 1
-    assert scans_of(plan, "inscripcion_id") == times  # instalments
+    # Totals, values and enrolments without values read one and the same grouping.
+    assert scans_of(plan, "inscripcion_id") == 1  # instalments
     assert scans_of(plan, "cuota_id") == 1  # payments
-    assert scans_of(plan, "idprograma") == times  # enrolments
+    assert scans_of(plan, "idprograma") == 1  # enrolments
     receipts = sum(columns == {"id", "estado"} for columns in scans(plan))
     assert receipts == (0 if name in UNITS and name not in DEDUP else 1)  # raw counts need none
     assert scans_of(plan, "nro_recibo") == 0
