@@ -5,16 +5,19 @@ For every participant of a conversation the dialogue is rendered with that speak
 mask: the code-point ranges of the text on which that speaker's model is trained (each own
 message and the end marker after it).
 
-A dialogue is rendered in parts of ``PART_TURNS`` turns, the part being ``turn div PART_TURNS``:
+A dialogue is rendered in parts of ``part_turns`` turns, the part being ``turn div part_turns``:
 an ordinary conversation is one part, and one with a third of all messages is many rows instead
-of one that no executor could hold. Parts in order make up the whole dialogue; no message is cut.
-Participants are few rows per conversation, the parts' side is the one that can be hot and is
-64 times fewer rows than messages.
+of one that no executor could hold. Turns may repeat, so a part with more than ``part_messages``
+messages is dealt into pieces, each turn of it into as many as that bound asks for, by ranges of
+a hash that also orders the messages of a turn. Rows in the order of (part, piece) joined by
+nothing make up the whole dialogue, masks shifted by the lengths before; no message is cut. A
+speaker with no message in a piece has an empty mask there. Messages are counted per part by
+partial aggregates, and the count meets them in a join whose hot side may be split.
 
 Defined cases: a null role is the participant ``unknown``, null text is empty. A repeated row
 (same conversation, turn, role and text) is one message. Messages of one turn are ordered by
-role, then text. Messages without a turn have no place: they form parts of their own
-(``untimed``), dealt by hash so that none grows without bound. A null ``conv_id`` is a
+their hash, then role and text. Messages without a turn have no place: they form a part of
+their own (``untimed``), dealt into pieces like any other. A null ``conv_id`` is a
 conversation of its own. A conversation of system messages only has no participant and no
 rendering. Marker strings inside a message lose their bars, so that no text can open a turn.
 Extra columns are not part of a dialogue.
@@ -31,7 +34,9 @@ from .common import let, table
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 SYSTEM, UNKNOWN = "system", "unknown"
 PART_TURNS = 64
-UNTIMED_PARTS = 1024
+PART_MESSAGES = 1024
+#: The hash that orders a turn's messages: so many hex digits, hence numbers.
+HEX, NUMBERS = 8, 16**8
 
 
 def _safe(text: Column) -> Column:
@@ -41,17 +46,39 @@ def _safe(text: Column) -> Column:
 
 
 def _messages(conversations: DataFrame) -> DataFrame:
+    """(conv_id, turn, role, text) of every different message, rendered safely."""
     role = F.coalesce(F.col("role"), F.lit(UNKNOWN))
-    rows = conversations.select(
+    return conversations.select(
         "conv_id",
         F.col("turn").cast("long").alias("turn"),
         _safe(F.replace(role, F.lit("\n"), F.lit(" "))).alias("role"),
         _safe(F.coalesce(F.col("text"), F.lit(""))).alias("text"),
     ).distinct()
-    untimed = F.col("turn").isNull()
-    part = F.when(untimed, F.pmod(F.xxhash64("role", "text"), F.lit(UNTIMED_PARTS)))
-    return rows.select(
-        "*", untimed.alias("untimed"), part.otherwise(F.floor(F.col("turn") / PART_TURNS)).alias("part")
+
+
+def _placed(messages: DataFrame, part_turns: int, part_messages: int) -> DataFrame:
+    """``messages`` with ``untimed``, ``part``, ``piece`` and ``hash``, which orders a turn."""
+    part = F.coalesce(F.floor(F.col("turn") / part_turns), F.lit(0)).cast("long")
+    digits = F.substring(F.md5(F.concat("role", F.lit("\n"), "text").cast("binary")), 1, HEX)
+    rows = messages.select(
+        "*", F.col("turn").isNull().alias("untimed"), part.alias("part"),
+        F.conv(digits, 16, 10).cast("long").alias("hash"),
+    )
+    crowded = (
+        rows.groupBy(F.col("conv_id").alias("c_conv"), F.col("untimed").alias("c_untimed"), F.col("part").alias("c_part"))
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") > part_messages)
+        .withColumn("slices", F.ceil(F.col("n") / part_messages))
+    )
+    same = (
+        F.col("conv_id").eqNullSafe(F.col("c_conv"))
+        & (F.col("untimed") == F.col("c_untimed"))
+        & (F.col("part") == F.col("c_part"))
+    )
+    turn_of_part = F.coalesce(F.col("turn") - F.col("part") * part_turns, F.lit(0))
+    piece = turn_of_part * F.col("slices") + F.floor(F.col("hash") * F.col("slices") / NUMBERS)
+    return rows.join(crowded, same, "left").select(
+        *rows.columns, F.coalesce(piece, F.lit(0)).cast("long").alias("piece")
     )
 
 
@@ -81,11 +108,13 @@ def _mask(segments: Column) -> Column:
     return F.aggregate(segments, start, step, lambda acc: acc["spans"])
 
 
-def rotate(conversations: DataFrame) -> DataFrame:
-    """(conv_id, speaker, untimed, part, n_messages, rendered, mask)."""
+def rotate(
+    conversations: DataFrame, part_turns: int = PART_TURNS, part_messages: int = PART_MESSAGES
+) -> DataFrame:
+    """(conv_id, speaker, untimed, part, piece, n_messages, rendered, mask)."""
     messages = _messages(conversations)
-    parts = messages.groupBy("conv_id", "untimed", "part").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("messages")
+    parts = _placed(messages, part_turns, part_messages).groupBy("conv_id", "untimed", "part", "piece").agg(
+        F.sort_array(F.collect_list(F.struct("turn", "hash", "role", "text"))).alias("messages")
     )
     speakers = (
         messages.where(F.col("role") != SYSTEM)
@@ -105,10 +134,10 @@ def rotate(conversations: DataFrame) -> DataFrame:
     return (
         parts.join(speakers, F.col("conv_id").eqNullSafe(F.col("of_conv")))
         .select(
-            "conv_id", "speaker", "untimed", "part",
+            "conv_id", "speaker", "untimed", "part", "piece",
             F.size("messages").cast("long").alias("n_messages"), shown.alias("shown"),
         )
-        .select("conv_id", "speaker", "untimed", "part", "n_messages", "shown.rendered", "shown.mask")
+        .select("conv_id", "speaker", "untimed", "part", "piece", "n_messages", "shown.rendered", "shown.mask")
     )
 
 
@@ -119,24 +148,35 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = rf"""
 WITH m AS (
-  SELECT DISTINCT conv_id, turn, replace(coalesce(role, '{UNKNOWN}'), chr(10), ' ') AS role,
-         replace(replace(coalesce(text, ''), '{OPEN}', '<im_start>'), '{CLOSE}', '<im_end>') AS text
-  FROM conversations WHERE turn IS NOT NULL),
+  SELECT *, ('0x' || substr(md5(role || chr(10) || text), 1, {HEX}))::BIGINT AS hash
+  FROM (
+    SELECT DISTINCT conv_id, turn, replace(coalesce(role, '{UNKNOWN}'), chr(10), ' ') AS role,
+           replace(replace(coalesce(text, ''), '{OPEN}', '<im_start>'), '{CLOSE}', '<im_end>') AS text
+    FROM conversations)),
+p AS (
+  SELECT *, turn IS NULL AS untimed, coalesce(turn // {PART_TURNS}, 0)::BIGINT AS part,
+         count(*) OVER (PARTITION BY conv_id, turn IS NULL, coalesce(turn // {PART_TURNS}, 0)) AS n
+  FROM m),
+q AS (
+  SELECT *, CASE WHEN n <= {PART_MESSAGES} THEN 0
+                 ELSE coalesce(turn - part * {PART_TURNS}, 0) * ((n + {PART_MESSAGES} - 1) // {PART_MESSAGES})
+                      + (hash * ((n + {PART_MESSAGES} - 1) // {PART_MESSAGES})) // {NUMBERS} END::BIGINT AS piece
+  FROM p),
 s AS (SELECT DISTINCT conv_id, role AS speaker FROM m WHERE role <> '{SYSTEM}'),
 seg AS (
-  SELECT m.conv_id, speaker, turn // {PART_TURNS} AS part, turn, role, text, role = speaker AS own,
+  SELECT q.conv_id, speaker, untimed, part, piece, turn, hash, role, text, role = speaker AS own,
          '{OPEN}' || CASE WHEN role = speaker THEN 'assistant' WHEN role = '{SYSTEM}' THEN '{SYSTEM}'
                           ELSE 'user name=' || role END || chr(10) AS head,
          text || '{CLOSE}' AS body
-  FROM m JOIN s ON m.conv_id IS NOT DISTINCT FROM s.conv_id),
+  FROM q JOIN s ON q.conv_id IS NOT DISTINCT FROM s.conv_id),
 placed AS (
   SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (
-    PARTITION BY conv_id, speaker, part ORDER BY turn, role, text
+    PARTITION BY conv_id, speaker, untimed, part, piece ORDER BY turn, hash, role, text
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT + length(head) AS begin_at
   FROM seg)
-SELECT conv_id, speaker, false AS untimed, part, count(*)::BIGINT AS n_messages,
-       string_agg(head || body || chr(10), '' ORDER BY turn, role, text) AS rendered,
-       coalesce(string_agg(begin_at || '-' || (begin_at + length(body)), ',' ORDER BY turn, role, text)
+SELECT conv_id, speaker, untimed, part, piece, count(*)::BIGINT AS n_messages,
+       string_agg(head || body || chr(10), '' ORDER BY turn, hash, role, text) AS rendered,
+       coalesce(string_agg(begin_at || '-' || (begin_at + length(body)), ',' ORDER BY turn, hash, role, text)
                 FILTER (WHERE own), '') AS mask
-FROM placed GROUP BY conv_id, speaker, part
+FROM placed GROUP BY conv_id, speaker, untimed, part, piece
 """
