@@ -6,17 +6,19 @@ twice sort their windows and measure what the repeated ones cover.
 
 The method's verdict: a line's key is the line without surrounding white space and with A-Z in
 lower case. A line is boilerplate when more than ``line_limit`` distinct documents of one host
-hold it. Boilerplate lines are taken away, and a document is depleted, hence rejected, when
-less than ``min_left_percent`` of its words are left. Documents with equal texts count as one
-holder of their lines: copies are the business of deduplication, and a text is not boilerplate
-because it was copied whole.
+hold it and these are more than ``host_percent`` of the host's documents: the first keeps chance
+repeats of small hosts, the second those of large ones. Boilerplate lines are taken away, and a
+document is depleted, hence rejected, when less than ``min_left_percent`` of its words are left.
+Every document counts, so a text copied often enough within its host goes with all its copies;
+``copies_count=False`` counts documents with equal texts as one holder of their lines instead.
 
 Counting goes through partial aggregates, so a line held by a third of a host's documents, or
 a host with a third of all documents, arrives as one row per task; the look-up keeps the lines
 on the side that adaptive execution may split.
 
-Defined cases: null text has no words and fails. A null host is a host of its own. A repeated
-row is judged like its twin. Other columns come back as they are.
+Defined cases: null text has no words and fails. A null host is a host of its own. Documents
+without id are told apart by their texts. A repeated row is the same document and judged like its
+twin. Columns of the results' names are replaced, others come back as they are.
 """
 
 from __future__ import annotations
@@ -25,14 +27,29 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import (
-    SPACE_RUN, hash_pair, let, lines_of, lower_ascii, scratch, stripped, table, text_of, without,
-    without_lines, words_of, written,
+    SPACE_RUN, hash_pair, let, lines_of, lower_ascii, scratch, stripped, table, text_of, without_lines,
+    words_of, written,
 )
 
 #: Fixed value: the characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 WINDOW = 5
+#: A line in more documents of a host than both is boilerplate; a document needs so many words left.
+LINE_LIMIT, HOST_PERCENT, MIN_LEFT_PERCENT = 10, 1, 20
+
+
+def _apart(docs: DataFrame, **read: str) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with the columns ``read`` (name here by name there) and all others under names
+    that nothing here uses, and these names by column."""
+    here = {there: name for name, there in read.items()}
+    names = {c: here.get(c, f"own_column_{i}") for i, c in enumerate(docs.columns)}
+    return docs.select(*(F.col(f"`{c}`").alias(name) for c, name in names.items())), names
+
+
+def _back(names: dict[str, str], *results: str) -> list[Column]:
+    """The columns of ``_apart`` under their own names, without those that ``results`` replace."""
+    return [F.col(name).alias(c) for c, name in names.items() if c.lower() not in results]
 
 
 def _windows(words: Column) -> Column:
@@ -82,6 +99,11 @@ def _dup_lines(text: Column) -> Column:
 
 def statistics(docs: DataFrame) -> DataFrame:
     """``docs`` with the statistics of ``STATS`` and ``base_failed``."""
+    rows, names = _apart(docs, text="text")
+    return _measured(rows).select(*_back(names, *STATS, "base_failed"), *STATS, "base_failed")
+
+
+def _measured(rows: DataFrame) -> DataFrame:
     text = text_of()
     symbols = F.char_length(F.regexp_replace(text, f"[^{SYMBOLS}]+", ""))
     measures = {
@@ -100,8 +122,8 @@ def statistics(docs: DataFrame) -> DataFrame:
             _repeat_words(w).alias("repeated"),
         ),
     )
-    return docs.select("*", of_words.alias("of_words")).select(
-        *without(docs, *STATS, "base_failed"),
+    return rows.select("*", of_words.alias("of_words")).select(
+        *rows.columns,
         *(column.cast("long").alias(name) for name, column in measures.items()),
     ).withColumn("base_failed", failed)
 
@@ -125,14 +147,25 @@ def _lines(docs: DataFrame, host: str) -> DataFrame:
     )
 
 
-def boilerplate(docs: DataFrame, host: str = "source", line_limit: int = 50) -> DataFrame:
+def boilerplate(
+    docs: DataFrame, host: str = "source", line_limit: int = LINE_LIMIT, host_percent: int = HOST_PERCENT,
+    copies_count: bool = True,
+) -> DataFrame:
     """(b_id, b_hash, b_host, gone, gone_words): a document's lines that too many documents of
     its host hold, by position, and the words in them."""
     lines = _lines(docs, host)
+    holder = F.col("text_hash")
+    if copies_count:
+        holder = F.when(F.col("doc_id").isNull(), holder).otherwise(F.xxhash64("doc_id"))
+    hosts = docs.groupBy(F.col(host).alias("t_host")).agg(
+        (F.count_distinct("doc_id") + F.count_if(F.col("doc_id").isNull())).alias("total")
+    )
     frequent = (
         lines.groupBy("host", "h1", "h2")
-        .agg(F.count_distinct("text_hash").alias("n_docs"))
+        .agg(F.count_distinct(holder).alias("n_docs"))
         .where(F.col("n_docs") > line_limit)
+        .join(hosts, F.col("host").eqNullSafe(F.col("t_host")))
+        .where(100 * F.col("n_docs") > host_percent * F.col("total"))
         .select(F.col("host").alias("f_host"), F.col("h1").alias("f1"), F.col("h2").alias("f2"))
     )
     # A table, not an aggregate, beside the join: then a hot line's partition may be split.
@@ -159,35 +192,38 @@ def boilerplate(docs: DataFrame, host: str = "source", line_limit: int = 50) ->
 
 
 def judge(
-    docs: DataFrame, host: str = "source", line_limit: int = 50, min_left_percent: int = 20
+    docs: DataFrame, host: str = "source", line_limit: int = LINE_LIMIT, host_percent: int = HOST_PERCENT,
+    min_left_percent: int = MIN_LEFT_PERCENT, copies_count: bool = True,
 ) -> DataFrame:
     """``docs`` with the statistics, ``base_failed``, ``n_boilerplate_words``,
     ``clean_text`` (the text without boilerplate lines) and ``kept``."""
-    own = docs.select("doc_id", "text", F.col(host).alias(host))
-    rows = statistics(docs).withColumn("own_hash", F.xxhash64(text_of()))
-    gone = boilerplate(own, host, line_limit)
+    apart, names = _apart(docs, doc_id="doc_id", text="text", host=host)
+    rows = _measured(apart).withColumn("own_hash", F.xxhash64(text_of()))
+    gone = boilerplate(apart, "host", line_limit, host_percent, copies_count)
     same = (
         F.col("doc_id").eqNullSafe(F.col("b_id"))
         & (F.col("own_hash") == F.col("b_hash"))
-        & F.col(host).eqNullSafe(F.col("b_host"))
+        & F.col("host").eqNullSafe(F.col("b_host"))
     )
     words = F.coalesce("gone_words", F.lit(0).cast("long"))
     enough = 100 * (F.col("n_words") - words) >= min_left_percent * F.col("n_words")
-    out = without(docs, *STATS, "base_failed", "n_boilerplate_words", "clean_text", "kept")
-    return rows.join(gone, same, "left").select(
-        *out, *STATS, "base_failed",
+    results = (*STATS, "base_failed", "n_boilerplate_words", "clean_text", "kept")
+    judged = rows.join(gone, same, "left").select(
+        *rows.columns,
         words.alias("n_boilerplate_words"),
         without_lines(text_of(), F.col("gone")).alias("clean_text"),
         (~F.col("base_failed") & enough).alias("kept"),
     )
+    # Names come back in a step of their own: beside expressions they would be taken for columns read.
+    return judged.select(*_back(names, *results), *results)
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return judge(docs).select("doc_id", *STATS, "base_failed", "kept")
+    return judge(docs).select("doc_id", *STATS, "base_failed", "n_boilerplate_words", "kept")
 
 
-ORACLE = r"""
+ORACLE = rf"""
 WITH d AS (
   SELECT doc_id, source, coalesce(text, '') AS text,
          list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t-\r]+'), lambda w: w <> '') AS words,
@@ -209,8 +245,15 @@ line AS (
   FROM (SELECT doc_id, source, text, unnest(lines) AS line FROM d)),
 full_line AS (SELECT * FROM line WHERE key <> ''),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM full_line GROUP BY doc_id),
+counted AS (
+  SELECT source, key, count(DISTINCT coalesce(doc_id::VARCHAR, 'text ' || t)) AS n
+  FROM full_line GROUP BY source, key),
+host AS (
+  SELECT source, count(DISTINCT doc_id) + count(*) FILTER (WHERE doc_id IS NULL) AS total
+  FROM d GROUP BY source),
 frequent AS (
-  SELECT source, key FROM full_line GROUP BY source, key HAVING count(DISTINCT t) > 50),
+  SELECT c.source, key FROM counted c JOIN host h ON c.source IS NOT DISTINCT FROM h.source
+  WHERE n > {LINE_LIMIT} AND 100 * n > {HOST_PERCENT} * total),
 gone AS (
   SELECT l.doc_id, sum(len(list_filter(regexp_split_to_array(l.key, '[ \t-\r]+'), lambda w: w <> ''))) AS n
   FROM full_line l JOIN frequent f
@@ -218,14 +261,15 @@ gone AS (
 stat AS (
   SELECT d.doc_id, len(words)::BIGINT AS n_words,
          length(array_to_string(words, ''))::BIGINT AS word_chars,
-         length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+         length(regexp_replace(text, '[^{SYMBOLS}]+', '', 'g'))::BIGINT AS n_symbols,
          coalesce(dup.n, 0)::BIGINT AS n_dup_lines,
          coalesce(repeated.n, 0)::BIGINT AS n_repeat_words,
          coalesce(gone.n, 0)::BIGINT AS gone_words
   FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN repeated USING (doc_id) LEFT JOIN gone USING (doc_id))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       gone_words AS n_boilerplate_words,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
-         AND 100 * (n_words - gone_words) >= 20 * n_words AS kept
+         AND 100 * (n_words - gone_words) >= {MIN_LEFT_PERCENT} * n_words AS kept
 FROM stat
 """

@@ -1,5 +1,6 @@
 """Chats, licences, mixtures and quality rules on hand-made rows; all of them stay in the JVM."""
 
+import hashlib
 import re
 import textwrap
 from collections import Counter, defaultdict
@@ -64,6 +65,27 @@ def test_long_and_awkward_dialogues(spark):
     assert sum(r.n_messages for r in got if r.conv_id == 9 and r.untimed) == 2
 
 
+def test_crowded_parts_are_dealt_into_pieces(spark):
+    rows = [(5, 4 + t, "ab"[t % 2], f"t{t}", "") for t in range(4)]
+    rows += [(5, 5, f"s{k % 3}", f"m{k}", "") for k in range(300)] + [(5, None, "a", f"u{k}", "") for k in range(40)]
+    rows += [(5, t, "a", f"early {t}", "") for t in range(3)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, part string")
+    got = [r for r in rotate(table, part_turns=4, part_messages=16).collect() if r.speaker == "s1"]
+
+    def place(row):
+        _, turn, role, text, _ = row
+        return turn, int(hashlib.md5(f"{role}\n{text}".encode()).hexdigest()[:8], 16), role, text
+
+    timed = sorted((r for r in got if not r.untimed), key=lambda r: (r.part, r.piece))
+    said = re.findall(r"\n(.*?)" + re.escape(CLOSE), "".join(r.rendered for r in timed))
+    assert said == [text for _, _, _, text in sorted(place(r) for r in rows if r[1] is not None)]
+    assert [r.n_messages for r in timed if r.part == 0] == [3]
+    assert len([r for r in timed if r.part == 1]) > 15 and max(r.n_messages for r in got) < 40
+    own = [r.rendered[m.start : m.end] for r in timed for m in r.mask]
+    assert sorted(own) == sorted(f"m{k}{CLOSE}" for k in range(300) if k % 3 == 1)
+    assert sum(r.n_messages for r in got if r.untimed) == 40 and len([r for r in got if r.untimed]) > 1
+
+
 # --- licences ---------------------------------------------------------------------------------
 
 
@@ -212,11 +234,41 @@ def test_boilerplate_of_a_host_depletes_its_documents(documents):
     rows = [(i, f"{menu}\n{own(i)}", "host") for i in range(6)]
     rows += [(10, f"{menu}\nonly three words", "host"), (11, f"{menu}\nonly three words", "other")]
     rows += [(20 + i, f"copied whole {own(99)}\n{own(98)}", "host") for i in range(9)]
-    got = {r.doc_id: r for r in judge(documents(rows), line_limit=5, min_left_percent=20).collect()}
+    got = {r.doc_id: r for r in judge(documents(rows), line_limit=5, min_left_percent=20, copies_count=False).collect()}
     assert got[0].base_failed and not got[0].kept  # the menu repeats its own windows
     assert got[0].n_boilerplate_words == 48 and got[0].clean_text == own(0)
     assert got[10].clean_text == "only three words" and got[11].n_boilerplate_words == 0
     assert got[20].kept and got[20].n_boilerplate_words == 0
+    # Every copy counts as a document unless told otherwise.
+    got = {r.doc_id: r for r in judge(documents(rows), line_limit=5).collect()}
+    assert not got[20].base_failed and not got[20].kept and got[20].clean_text == ""
+    assert got[10].n_boilerplate_words == 48 and got[11].n_boilerplate_words == 0
+
+
+def test_a_line_needs_its_share_of_the_host(documents):
+    line = " ".join(f"menu{k}" for k in range(40))
+    rows = [(i, f"{line}\nand {i}", "h") for i in range(6)] + [(100 + i, f"page {i}", "h") for i in range(94)]
+    rows += [(None, f"no id {i}", "h") for i in range(20)] + [rows[0], (7, f"{line}\nelse", "g")]
+    for percent, gone in ((4, True), (5, False)):  # 6 of 120 documents: 5 %
+        got = judge(documents(rows), line_limit=5, host_percent=percent).collect()
+        assert {r.doc_id for r in got if r.n_boilerplate_words} == (set(range(6)) if gone else set())
+        assert len(got) == len(rows)
+
+
+def test_rows_without_id_hold_lines_by_their_texts(documents):
+    rows = [(None, f"the same line\n{i}", "h") for i in range(4)] + [(None, "the same line\n0", "h")]
+    got = judge(documents(rows), line_limit=3).collect()
+    assert [r.n_boilerplate_words for r in got] == [3] * 5
+    assert not [r for r in judge(documents(rows), line_limit=4).collect() if r.n_boilerplate_words]
+
+
+def test_rules_leave_clashing_columns_as_they_are(spark):
+    names = ("gone", "gone_words", "of_words", "own_hash", "b_id", "b_hash", "b_host", "host", "f1", "holder", "total")
+    row = (1, "one line of text", "s", *(f"x {n}" for n in names))
+    docs = spark.createDataFrame([row], "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names))
+    for found in (judge(docs).first(), statistics(docs).first()):
+        assert [found[n] for n in names] == [f"x {n}" for n in names]
+        assert found.n_words == 4 and found.text == "one line of text" and found.source == "s"
 
 
 def test_depletion_alone_rejects(documents):
