@@ -83,12 +83,16 @@ def hex_sha256(text: Column) -> Column:
 def scratch(spark: SparkSession, purpose: str) -> str:
     """A new folder for tables written between jobs, shared by all executors.
 
-    It lies in ``spark.checkpoint.dir``. Only where that is unset, as in local tests, is it a
-    temporary folder of this machine. Its tables back DataFrames that are still lazy, so the
-    owner of the session clears the folder, not the operator.
+    It lies in ``spark.checkpoint.dir``, else in the checkpoint directory that the session was
+    given by call. Without either it is a temporary folder of this machine in a local session,
+    and an error on a cluster, whose executors could not see each other's files. Its tables back
+    DataFrames that are still lazy, so the owner of the session clears the folder, not the operator.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share ({master=})")
         root = "file://" + tempfile.mkdtemp(prefix="enrolmeter-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
