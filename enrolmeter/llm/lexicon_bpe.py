@@ -12,7 +12,8 @@ frequent ones, up to ``LEXICON_WORDS``, are encoded by exact merges and compiled
 
 Encoding splits whole texts, takes the distinct words of a piece of text, and walks all of them
 through the transducer together, one look-up for each byte place. Words it does not hold are merged
-exactly: lowest rank first, leftmost of equals, over pairs as the tokenizer lists them. Special
+exactly: lowest rank first, leftmost of equals, over pairs as the tokenizer lists them; a worker
+remembers the last of those, in ``MERGED_BYTES`` or those of one piece of text. Special
 tokens in a text are found first and are ids of their own, as in the tokenizer. Decoding concatenates
 the tokens' bytes; bytes that are no UTF-8 become U+FFFD.
 
@@ -53,6 +54,8 @@ LEXICON_WORDS, LEXICON_BYTES = 65_536, 32
 PIECE_CHARS = 1 << 19
 #: Words up to this many bytes are merged together, so many at a time; longer ones with a heap each.
 SCAN_BYTES, SCAN_ROWS = 48, 1024
+#: What a worker keeps of merged words, and what a word takes beside its bytes.
+MERGED_BYTES, WORD_BYTES = 32 << 20, 160
 #: Steps of the histogram of counts in a doubling.
 STEPS = 8
 
@@ -117,18 +120,18 @@ class Vocabulary:
 
     def merge_all(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each word, all ids): words of about a length step by step together."""
-        found: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
-        order = sorted(range(len(words)), key=lambda i: len(words[i]))
-        long = [i for i in order if len(words[i]) > SCAN_BYTES]
-        short = order[: len(order) - len(long)]
-        for i in long:
-            found[i] = np.array(self._merge_long(list(map(self.of_byte.__getitem__, words[i]))), np.int32)
-        for at in range(0, len(short), SCAN_ROWS):
-            some = short[at : at + SCAN_ROWS]
-            for row, ids in self._merge_rows([words[i] for i in some]):
-                found[some[row]] = ids
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        return sizes, np.concatenate(found) if found else np.zeros(0, np.int32)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(lengths, kind="stable")
+        short = int(np.searchsorted(lengths[order], SCAN_BYTES, "right"))
+        sizes, parts = np.zeros(len(words), np.int64), [np.zeros(0, np.int32)]
+        for at in range(0, short, SCAN_ROWS):
+            some = order[at : min(at + SCAN_ROWS, short)]
+            sizes[some], ids = self._merge_rows([words[i] for i in some.tolist()])
+            parts.append(ids)
+        for i in order[short:].tolist():
+            parts.append(np.array(self._merge_long(list(map(self.of_byte.__getitem__, words[i]))), np.int32))
+            sizes[i] = len(parts[-1])
+        return sizes, _reordered(order, sizes[order], np.concatenate(parts))
 
     def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The ranks of pairs; those that do not merge, or lie past an end, have the greatest number."""
@@ -136,36 +139,42 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, self.ranks[at], len(self.keys)).astype(np.int32)
 
-    def _merge_rows(self, words: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
-        """(which word, its ids): in each round every word that still merges does so once."""
+    def _merge_rows(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each word, all ids): in each round every word that still merges does so once."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         ids = np.full((len(words), int(lengths.max()) + 1), -1, np.int32)
         every = np.frombuffer(b"".join(words), np.uint8)
         ids[np.arange(ids.shape[1]) < lengths[:, None]] = np.array(self.of_byte, np.int32)[every]
         rows, none = np.arange(len(words)), len(self.keys)
+        done_rows, done_sizes, done_ids = [], [], []
+
+        def end(which: np.ndarray) -> None:
+            there = ids[which] >= 0
+            done_rows.append(rows[which])
+            done_sizes.append(there.sum(axis=1))
+            done_ids.append(ids[which][there])
+
         ranks = self._ranks_of(ids[:, :-1], ids[:, 1:])
-        while len(rows):
+        while len(rows) and ranks.shape[1]:
             best = ranks.argmin(axis=1)
             low = ranks[np.arange(len(rows)), best]
             goes = low < none
-            for i in np.flatnonzero(~goes).tolist():
-                yield int(rows[i]), ids[i][ids[i] >= 0]
+            end(~goes)
             rows, ids, ranks, best, low = rows[goes], ids[goes], ranks[goes], best[goes], low[goes]
-            if not len(rows):
-                break
             # The right one of the pair goes, and with it the pair's rank; all have one place less.
             after = np.arange(ids.shape[1] - 1) > best[:, None]
             ids = np.where(after, ids[:, 1:], ids[:, :-1])
             row = np.arange(len(rows))
             ids[row, best] = self.merged[low]
-            ranks = np.where(after[:, 1:], ranks[:, 1:], ranks[:, :-1]) if ranks.shape[1] > 1 else ranks[:, :0]
+            ranks = np.where(after[:, 1:], ranks[:, 1:], ranks[:, :-1])
             for near in (best - 1, best):
                 ok = (near >= 0) & (near < ranks.shape[1])
                 ranks[row[ok], near[ok]] = self._ranks_of(ids[row[ok], near[ok]], ids[row[ok], near[ok] + 1])
-            if not ranks.shape[1]:
-                for i in range(len(rows)):
-                    yield int(rows[i]), ids[i][ids[i] >= 0]
-                break
+        end(np.ones(len(rows), bool))
+        order, sizes = np.concatenate(done_rows), np.concatenate(done_sizes)
+        in_order = np.zeros(len(words), np.int64)
+        in_order[order] = sizes
+        return in_order, _reordered(order, sizes, np.concatenate(done_ids))
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
@@ -306,11 +315,44 @@ def _stretches(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
 
 
+def _reordered(order: np.ndarray, sizes: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """Runs of ``flat``, the k-th of ``sizes[k]`` for place ``order[k]``, in the order of places."""
+    back = np.argsort(order)
+    return flat[_stretches((np.cumsum(sizes) - sizes)[back], sizes[back])]
+
+
+class Merged:
+    """Ids of words merged before. Beyond ``MERGED_BYTES`` it starts anew: it spares time, nothing else."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.held = 0
+        self.sizes, self.starts, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each word, all ids) of distinct words."""
+        if self.held > MERGED_BYTES:
+            self.clear()
+        new = [w for w in words if w not in self.number]
+        if new:
+            sizes, ids = self.vocabulary.merge_all(new)
+            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+            self.held += sum(map(len, new)) + WORD_BYTES * len(new)
+            self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
+            self.starts = np.cumsum(self.sizes) - self.sizes
+        at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        return self.sizes[at], self.ids[_stretches(self.starts[at], self.sizes[at])]
+
+
 class Coder:
     """Encodes and decodes texts with a vocabulary and a lexicon."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon, pattern: str):
-        self.vocabulary, self.lexicon = vocabulary, lexicon
+        self.vocabulary, self.lexicon, self.merged = vocabulary, lexicon, Merged(vocabulary)
         self.split = regex.compile(pattern).findall
         names = sorted(vocabulary.special, key=len, reverse=True)
         self.special = regex.compile(f"({'|'.join(map(regex.escape, names))})").split if names else None
@@ -360,7 +402,7 @@ class Coder:
         known[special], sizes[special] = False, 1
         unseen = ~known
         unseen[special] = False
-        sizes[unseen], merged = self.vocabulary.merge_all([coded[i] for i in np.flatnonzero(unseen)])
+        sizes[unseen], merged = self.merged.of([coded[i] for i in np.flatnonzero(unseen).tolist()])
         flat, places = np.zeros(int(sizes.sum()), np.int32), np.cumsum(sizes) - sizes
         flat[places[special]] = [words[i] for i in special]
         flat[_stretches(places[unseen], sizes[unseen])] = merged
