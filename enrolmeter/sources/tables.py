@@ -1,6 +1,6 @@
 """Readers that return the twelve logical tables as ``{name: DataFrame}``.
 
-No reader runs a query. A Parquet load reads one footer for the schema, and schemaless formats
+No reader runs a query; ``jdbc_ranges``, which finds bounds for one, does. A Parquet load reads one footer for the schema, and schemaless formats
 such as CSV are read through to infer theirs. No reader hints a broadcast: file and catalog sizes are known to
 Spark, which broadcasts a table only below ``spark.sql.autoBroadcastJoinThreshold``, and
 adaptive execution does the same at run time with measured sizes.
@@ -58,7 +58,8 @@ def jdbc_tables(
 
     ``ranges`` gives (lowest, highest) id for the tables that should be read in parallel;
     the bounds only decide the cut, rows outside them are still read. The four fact tables
-    must have a range: without one a table goes through a single task.
+    must have a range: without one a table goes through a single task. ``jdbc_ranges`` asks the
+    database for them.
 
     A partition's rows must not gather in memory before the first is used. Drivers differ in
     when they stream: MySQL's heeds ``fetchsize`` only with ``useCursorFetch=true`` in the URL.
@@ -75,6 +76,30 @@ def jdbc_tables(
     return out
 
 
+def jdbc_ranges(
+    spark: SparkSession, url: str, academic: str, admin: str, options: Mapping[str, str] | None = None
+) -> dict[str, tuple[int, int]]:
+    """The (lowest, highest) id of every fact table, for ``jdbc_tables``.
+
+    The database finds both, from its index where it has one, and returns one row a table.
+    An empty table gets the range (0, 1).
+    """
+    homes = {**dict.fromkeys(ACADEMIC, academic), **dict.fromkeys(ADMIN, admin)}
+    ranges = {}
+    for name in FACTS:
+        settings = jdbc_bounds_options(name, url, homes[name])
+        row = spark.read.format("jdbc").options(**settings).options(**(options or {})).load().first()
+        ranges[name] = (0, 1) if row is None or row[0] is None else (int(row[0]), int(row[1]))
+    return ranges
+
+
+def jdbc_bounds_options(table: str, url: str, schema: str) -> dict[str, str]:
+    """Reader options for the lowest and highest value of a table's range column."""
+    column = RANGE_COLUMN[table]
+    query = f"SELECT min({column}) AS lowest, max({column}) AS highest FROM {schema}.{table}"
+    return {"url": url, "query": query}
+
+
 def jdbc_options(
     table: str, url: str, schema: str, bounds: tuple[int, int] | None, partitions: int
 ) -> dict[str, str]:

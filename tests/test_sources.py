@@ -2,8 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from enrolmeter import UNITS, catalog_tables, load_tables, report
-from enrolmeter.sources.schema import ACADEMIC, SCHEMAS, conform
-from enrolmeter.sources.tables import jdbc_options, jdbc_tables
+from enrolmeter.sources.schema import ACADEMIC, FACTS, SCHEMAS, conform
+from enrolmeter.sources.tables import jdbc_bounds_options, jdbc_options, jdbc_ranges, jdbc_tables
 
 from .tiny import line, payment, tables
 
@@ -72,3 +72,36 @@ def test_ranged_reads_over_jdbc():
 def test_fact_tables_over_jdbc_need_a_range(spark):
     with pytest.raises(ValueError, match="ranges lacks .*plan_pagos, detalle_pagos_inscripcion"):
         jdbc_tables(spark, "jdbc:x", "academic", "admin", {"inscripciones": (1, 9)})
+
+
+class Database:
+    """Stands in for a session that reads over JDBC: answers with set rows, keeps the options."""
+
+    def __init__(self, answers):
+        self.answers, self.asked, self.read = iter(answers), [], self
+
+    def format(self, name):
+        assert name == "jdbc"
+        self.asked.append({})
+        return self
+
+    def options(self, **settings):
+        self.asked[-1].update(settings)
+        return self
+
+    def load(self):
+        return self
+
+    def first(self):
+        return next(self.answers)
+
+
+def test_bounds_are_found_by_the_database():
+    assert jdbc_bounds_options("detalle_pagos_inscripcion", "jdbc:x", "academic") == {
+        "url": "jdbc:x",
+        "query": "SELECT min(cuota_id) AS lowest, max(cuota_id) AS highest FROM academic.detalle_pagos_inscripcion",
+    }
+    database = Database([(3, 90), (None, None), *[(1, 2)] * (len(FACTS) - 2)])
+    ranges = jdbc_ranges(database, "jdbc:x", "academic", "admin", {"user": "reader"})
+    assert list(ranges) == list(FACTS) and list(ranges.values())[:2] == [(3, 90), (0, 1)]
+    assert all(asked["user"] == "reader" and "min(" in asked["query"] for asked in database.asked)
