@@ -8,16 +8,16 @@ make a band; least values fill one half of the bands, largest values the other.
 1. Texts with equal sets become one node, so copies cost one row each.
 2. Nodes that share a band's value share a bucket. In every bucket each node meets the bucket's
    least node (a star, linear in the bucket), links are confirmed, components are labelled.
-3. In buckets of more than two nodes that still hold several labels, nodes outside the largest
-   label meet all others of a different label, in blocks of bounded size. Sizes and the share
-   of equal signature values rule most pairs out there; of what is left the most alike are
-   confirmed (for each node ``FIRST_TRIES`` of the largest label and as many of the rest), and
-   nodes are labelled again.
-4. Buckets that had more such pairs are joined to clusters, in which every node comes once.
-   There the full sets themselves meet in blocks, again only nodes outside the largest label
-   against nodes of other labels, and a block gives one link for a node and label at most.
-
-So a group of thousands of near copies is not expanded into its pairs, and yet no pair of a
+3. Buckets of more than two nodes that still hold several labels are joined to clusters. There
+   an exact prefix filter finds candidates: shingles are put in one order for the cluster,
+   those held by one label first, then from rare to frequent, and only nodes of different labels
+   that have one of their first n - ceil(0.8 n) + 1 in common are a pair. Frequent ones meet in
+   blocks of bounded size. Sizes and the share of equal signature values rule out more.
+4. In a first turn each node gives the ``FIRST_TRIES`` most alike of a cell, those are confirmed
+   and nodes labelled again. Clusters that had more take a second turn, with all candidates.
+
+So a group of thousands of near copies is not expanded into its pairs, pages of one template
+that share too little never meet (their own shingles fill the prefixes), and yet no pair of a
 bucket in different components stays untested. Confirmation is exact, on full sets.
 
 What can be missed: two sets of similarity s share no bucket with chance (1 - s^4)^32, below
@@ -39,7 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, scratch, table, text_of, without, written
@@ -50,9 +50,10 @@ BANDS = 2 * PERMUTATIONS // ROWS
 THRESHOLD = 80  # per cent
 LEAST_EQUAL = PERMUTATIONS  # half of the signature's values
 FIRST_TRIES = 3
-#: Blocks of a bucket, by nodes, and of a cluster, by shingles.
-STRAY_BLOCK, MEMBER_BLOCK = 256, 1024
-STRAY_SHINGLES, MEMBER_SHINGLES = 250_000, 1_000_000
+#: Blocks of nodes that hold a shingle, and of a cluster's sets, by their shingles.
+POSTING_BLOCK, SET_BLOCK = 512, 500_000
+#: Pairs whose signatures are compared at once.
+SIGNATURES = 100_000
 SLICE = 8192
 CACHED_WORDS = 500_000
 
@@ -120,7 +121,7 @@ def _signed(batches: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame
 
 def _sets(batches: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        sets = [shingle_set(text, size).tobytes() for text in batch["text"]]
+        sets = [shingle_set(text, size).view(np.int64) for text in batch["text"]]
         yield pd.DataFrame({"node": batch["doc_id"], "shingles": sets})
 
 
@@ -153,126 +154,145 @@ def _star_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _stray_pairs(
-    members: DataFrame, nodes: DataFrame, labels: DataFrame, folder: str, sets: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Pairs of different labels in one bucket that may be links, and the buckets with more.
+# --- clusters: links between labels, by prefixes of the rarest shingles ----------------------
 
-    Without ``sets``: pairs that sizes and signatures do not rule out, in a block and for a node
-    the ``FIRST_TRIES`` most alike of the largest label and as many others. With them: links,
-    one for each node, label and block.
+
+def _clusters(members: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
+    """(cluster, node): buckets of more than two nodes that hold several labels, joined."""
+    now = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    now = written(now.select("band", "value", "node", "least", "label"), f"{folder}/now")
+    held = now.groupBy("band", "value").agg(
+        F.min("label").alias("first"), F.max("label").alias("last"), F.count("*").alias("size")
+    )
+    # Two nodes have met in the star.
+    several = held.where((F.col("first") != F.col("last")) & (F.col("size") > 2)).select("band", "value")
+    met = now.join(written(several, f"{folder}/several"), ["band", "value"])
+    joined = components(met, "least", "node")
+    return written(joined.select(F.col("label").alias("cluster"), "node"), f"{folder}/clusters")
+
+
+def _prefixes(rows: DataFrame, folder: str) -> DataFrame:
+    """(cluster, shingle, node, label, n) of the shingles by which two labels can be linked.
+
+    A cluster's shingles have one order: those of a single label, then the others from rare to
+    frequent. Two sets of similarity 0.8 have in common one of the first n - ceil(0.8 n) + 1 of
+    each. One that a single label holds cannot tie two, so only the rest is returned.
     """
-    now = members.select("band", "value", "node", "n").join(labels, "node", "left")
-    now = now.select("band", "value", "node", "n", F.coalesce("label", "node").alias("label"))
-    now = written(now, f"{folder}/now")
-    held = now.groupBy("band", "value", "label").agg(
-        F.count("*").alias("held"), F.sum("n" if sets is not None else F.lit(1)).alias("weight")
+    flat = rows.select("cluster", "node", "piece", "label", "n", F.explode("shingles").alias("shingle"))
+    shared = (
+        flat.groupBy("cluster", "shingle")
+        .agg(F.min("label").alias("first"), F.max("label").alias("last"), F.count("*").alias("frequency"))
+        .where(F.col("first") != F.col("last"))
+        .select("cluster", "shingle", "frequency")
     )
-    stray_block, block = (STRAY_SHINGLES, MEMBER_SHINGLES) if sets is not None else (STRAY_BLOCK, MEMBER_BLOCK)
-    open_buckets = (
-        held.groupBy("band", "value")
-        .agg(
-            F.max(F.struct("held", "label", "weight")).alias("main"),
-            F.sum("held").alias("size"),
-            F.sum("weight").alias("weight"),
-            F.count("*").alias("n_labels"),
-        )
-        .where((F.col("n_labels") > 1) & (F.col("size") > 2))  # two nodes have met in the star
-        .select(
-            "band", "value", F.col("main.label").alias("main"),
-            F.ceil(F.col("weight") / block).cast("int").alias("blocks"),
-            F.ceil((F.col("weight") - F.col("main.weight")) / stray_block).cast("int").alias("stray_blocks"),
-        )
+    # A table beside the join, so that a frequent shingle's rows may be split.
+    held = flat.join(written(shared, f"{folder}/shared"), ["cluster", "shingle"])
+    own_set = Window.partitionBy("cluster", "node", "piece")
+    held = held.withColumn("place", F.row_number().over(own_set.orderBy("frequency", "shingle")))
+    held = held.withColumn("single", F.col("n") - F.count("*").over(own_set))
+    prefix = F.col("n") - F.ceil(F.col("n") * THRESHOLD / 100) + 1
+    kept = held.where(F.col("single") + F.col("place") <= prefix)
+    return written(kept.select("cluster", "shingle", "node", "label", "n"), f"{folder}/prefixes")
+
+
+def _blocks(groups: DataFrame, weight: str, block: int, *keys: str) -> DataFrame:
+    """Groups with their number of ``blocks``, and small ones gathered to about one block.
+
+    ``cell`` is a group's own if it takes several blocks, else shared with other small groups.
+    """
+    blocks = F.ceil(F.col(weight) / block).cast("int")
+    small = groups.where(blocks == 1).agg(F.sum(weight)).first()[0] or 0
+    gathered = F.pmod(F.xxhash64(*keys), F.lit(-(-small // block) or 1))
+    return groups.select(
+        *keys, blocks.alias("blocks"), F.when(blocks == 1, gathered).otherwise(F.xxhash64(*keys)).alias("cell")
     )
-    open_buckets = written(open_buckets, f"{folder}/open")
-    rows = now.drop("n").join(open_buckets, ["band", "value"]).join(nodes, "node")
-    rows = rows.join(sets, "node") if sets is not None else rows.withColumn("shingles", F.lit(None).cast("binary"))
-
-    def dealt(stray: bool) -> DataFrame:
-        side = rows.where(F.col("label") != F.col("main")) if stray else rows
-        own, other = ("stray_blocks", "blocks") if stray else ("blocks", "stray_blocks")
-        names = ("stray_block", "block") if stray else ("block", "stray_block")
-        place = F.pmod(F.xxhash64("node"), F.col(own)).cast("int")
-        everywhere = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
-        return side.select(
-            "band", "value", "node", "label", "main", "n", "bands", "sig", "shingles", F.lit(stray).alias("stray"),
-            place.alias(names[0]), everywhere.alias(names[1]),
-        )
 
-    cells = dealt(True).unionByName(dealt(False)).groupBy("band", "value", "stray_block", "block")
-    judge, tries = _cell_links if sets is not None else _cell, FIRST_TRIES
-    found = cells.applyInPandas(lambda rows: judge(rows, tries), "band int, value long, a long, b long")
-    found = written(found, f"{folder}/found")
-    more = found.where(F.col("a").isNull()).select("band", "value").distinct()
-    return found.where(F.col("a").isNotNull()).select("a", "b").distinct(), more
-
-
-def _rows(rows: pd.DataFrame, a: list, b: list) -> pd.DataFrame:
-    pairs = pd.DataFrame({"a": pd.array(a, "Int64"), "b": pd.array(b, "Int64")})
-    pairs.insert(0, "value", int(rows["value"].iloc[0]))
-    pairs.insert(0, "band", int(rows["band"].iloc[0]))
-    return pairs
-
-
-def _cell_links(rows: pd.DataFrame, _: int) -> pd.DataFrame:
-    """Links of one block's strays to another's members, by their full sets."""
-    stray = rows["stray"].to_numpy(bool)
-    strays, members = rows[stray], rows[~stray]
-    a, b = [], []
-    if len(strays) and len(members):
-        node, label, main = (members[c].to_numpy() for c in ("node", "label", "main"))
-        sets = [np.frombuffer(s, np.uint64) for s in members["shingles"]]
-        sizes = np.array([len(s) for s in sets])
-        known, place = np.unique(np.concatenate(sets), return_inverse=True)
-        starts = np.cumsum([0, *sizes[:-1]])
-        for one in strays.itertuples():
-            own = np.frombuffer(one.shingles, np.uint64)
-            has = np.zeros(len(known), np.int32)
-            at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-            has[at[known[at] == own]] = 1
-            both = np.add.reduceat(has[place], starts)
-            # Two strays meet twice: the lesser node's turn counts.
-            fit = (label != one.label) & ((label == main) | (node > one.node))
-            fit &= 100 * both >= THRESHOLD * (sizes + len(own) - both)
-            at = np.flatnonzero(fit)
-            at = at[np.unique(label[at], return_index=True)[1]]
-            a += [one.node] * len(at)
-            b += node[at].tolist()
-    return _rows(rows, a, b)
-
-
-def _cell(rows: pd.DataFrame, tries: int) -> pd.DataFrame:
-    """Strays of one block against the members of another; a row without pair says: more."""
-    stray = rows["stray"].to_numpy(bool)
-    strays, members = rows[stray], rows[~stray]
-    a, b, more = [], [], False
-    if len(strays) and len(members):
-        band = int(rows["band"].iloc[0])
-        node, label = members["node"].to_numpy(), members["label"].to_numpy()
-        n, main = members["n"].to_numpy(), members["main"].to_numpy()
-        sigs = np.frombuffer(b"".join(members["sig"]), np.uint8).reshape(len(members), -1)
-        bands = np.stack(members["bands"].to_numpy())[:, :band]
-        for one in strays.itertuples():
-            # Two strays meet twice: the lesser node's turn counts.
-            fit = (label != one.label) & ((label == main) | (node > one.node))
-            fit &= 100 * np.minimum(n, one.n) >= THRESHOLD * np.maximum(n, one.n)
-            # A pair is tested in the first band it shares.
-            fit &= ~(bands == np.asarray(one.bands)[:band]).any(axis=1)
-            at = np.flatnonzero(fit)
-            equal = (sigs[at] == np.frombuffer(one.sig, np.uint8)).sum(axis=1)
-            at, equal = at[equal >= LEAST_EQUAL], equal[equal >= LEAST_EQUAL]
-            if len(at) > tries:
-                order = np.lexsort((node[at], -equal))
-                largest = label[at[order]] == main[at[order]]
-                first = np.concatenate([order[largest][:tries], order[~largest][:tries]])
-                more |= len(first) < len(at)
-                at = at[first]
-            a += [one.node] * len(at)
-            b += node[at].tolist()
-    if more:
-        a.append(None)
-        b.append(None)
-    return _rows(rows, a, b)
+
+def _prefix_pairs(rows: DataFrame, nodes: DataFrame, folder: str, tries: int | None) -> DataFrame:
+    """(cluster, a, b): pairs of two labels with a common prefix shingle, alike by size and signature.
+
+    With ``tries`` a node gives so many, its most alike, in a cell, and a row without pair tells
+    that a cluster had more.
+    """
+    postings = _prefixes(rows, folder)
+    held = postings.groupBy("cluster", "shingle").agg(
+        F.count("*").alias("size"), F.min("label").alias("first"), F.max("label").alias("last")
+    )
+    held = written(held.where(F.col("first") != F.col("last")), f"{folder}/postings")
+    placed = postings.join(
+        written(_blocks(held, "size", POSTING_BLOCK, "cluster", "shingle"), f"{folder}/cells"), ["cluster", "shingle"]
+    )
+    placed = placed.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = placed.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+    placed = placed.join(nodes.select("node", "n", "sig"), ["node", "n"])
+    found = placed.groupBy("cell", "low", "high").applyInPandas(
+        lambda cell: _cell(cell, tries), "cluster long, a long, b long"
+    )
+    return written(found.distinct(), f"{folder}/pairs")
+
+
+def _cell(rows: pd.DataFrame, tries: int | None) -> pd.DataFrame:
+    """The pairs of one cell: within a block, or between two blocks of one posting."""
+    cluster, node, label, n, own = (rows[c].to_numpy() for c in ("cluster", "node", "label", "n", "own"))
+    keys = pd.DataFrame({"cluster": cluster, "shingle": rows["shingle"].to_numpy(), "at": np.arange(len(rows))})
+    met = keys.merge(keys, on=["cluster", "shingle"])
+    left, right = met["at_x"].to_numpy(), met["at_y"].to_numpy()
+    fit = (node[left] < node[right]) & (label[left] != label[right])
+    if rows["low"].iloc[0] != rows["high"].iloc[0]:
+        fit &= own[left] != own[right]
+    fit &= 100 * np.minimum(n[left], n[right]) >= THRESHOLD * np.maximum(n[left], n[right])
+    left, right = left[fit], right[fit]
+    sigs = np.frombuffer(b"".join(rows["sig"]), np.uint8).reshape(len(rows), -1)
+    equal = np.zeros(len(left), np.int64)
+    for i in range(0, len(left), SIGNATURES):
+        part = slice(i, i + SIGNATURES)
+        equal[part] = (sigs[left[part]] == sigs[right[part]]).sum(axis=1)
+    pairs = pd.DataFrame({"cluster": cluster[left], "a": node[left], "b": node[right], "equal": equal})
+    pairs = pairs[equal >= LEAST_EQUAL].sort_values(["cluster", "a", "b", "equal"])
+    pairs = pairs.drop_duplicates(["cluster", "a", "b"], keep="last")
+    if tries is not None and len(pairs):
+        order = pairs.sort_values(["equal", "a", "b"], ascending=[False, True, True])
+        first = order.groupby(["cluster", "a"]).cumcount() < tries
+        first |= order.groupby(["cluster", "b"]).cumcount() < tries
+        more = order.loc[~first, ["cluster"]].drop_duplicates()
+        pairs = pd.concat([order[first], more])
+    return pairs[["cluster", "a", "b"]].astype("Int64")
+
+
+def _confirmed_in_clusters(pairs: DataFrame, rows: DataFrame, folder: str) -> DataFrame:
+    """The pairs that are links by their full sets.
+
+    A cluster's pairs are dealt by blocks of nodes, so that a set goes to a cell once and not
+    once for each of its pairs.
+    """
+    weights = rows.groupBy("cluster").agg(F.sum("n").alias("weight"))
+    cells = written(_blocks(weights, "weight", SET_BLOCK, "cluster"), f"{folder}/set-cells")
+    placed = pairs.join(cells, "cluster").select(
+        "cell", "a", "b",
+        *(F.pmod(F.xxhash64(side), F.col("blocks")).cast("int").alias(f"{side}_block") for side in ("a", "b")),
+    )
+    placed = written(placed, f"{folder}/placed")
+    cell = ["cell", "a_block", "b_block"]
+    met = placed.select(*cell, F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = written(met, f"{folder}/met").join(rows.select("node", "shingles"), "node")
+    return placed.groupBy(*cell).cogroup(sets.groupBy(*cell)).applyInPandas(_links, "a long, b long").distinct()
+
+
+def _links(pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
+    owner, held = sets["node"].to_numpy(), list(sets["shingles"])
+    at = pd.DataFrame({"node": owner, "at": np.arange(len(owner))})
+    met = pairs[["a", "b"]].merge(at, left_on="a", right_on="node").merge(at, left_on="b", right_on="node")
+    found = []
+    for own_at, partners in met.groupby("at_x")["at_y"]:
+        own, others = np.sort(held[own_at]), [held[i] for i in partners]
+        sizes = np.array([len(s) for s in others])
+        every = np.concatenate(others)
+        place = np.minimum(np.searchsorted(own, every), len(own) - 1)
+        both = np.add.reduceat(own[place] == every, np.cumsum([0, *sizes[:-1]]), dtype=np.int64)
+        linked = 100 * both >= THRESHOLD * (sizes + len(own) - both)
+        found += [(owner[own_at], owner[i]) for i in partners[linked]]
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -282,9 +302,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             keep = []
             for left, right in zip(batch["left_set"], batch["right_set"]):
-                x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= THRESHOLD * (len(x) + len(y) - both))
+                both = len(np.intersect1d(left, right, assume_unique=True))
+                keep.append(100 * both >= THRESHOLD * (len(left) + len(right) - both))
             yield batch.loc[keep, ["a", "b"]]
 
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left_set"))
@@ -323,25 +342,29 @@ def group_near_duplicates(docs: DataFrame, shingle_words: int = 5) -> DataFrame:
     met = members.select(F.col("node").alias("doc_id")).distinct()
     sets = written(
         texts.where(F.col("text") != "").join(met, "doc_id", "left_semi").dropDuplicates()
-        .mapInPandas(lambda batches: _sets(batches, shingle_words), "node long, shingles binary"),
+        .mapInPandas(lambda batches: _sets(batches, shingle_words), "node long, shingles array<long>"),
         f"{folder}/sets",
     )
     links = written(_confirmed(_star_pairs(members, nodes), sets), f"{folder}/star")
     labels = written(components(links, "a", "b"), f"{folder}/labels")
-    pairs, more = _stray_pairs(members, nodes, labels, f"{folder}/tried")
-    new = written(_confirmed(pairs, sets), f"{folder}/tried-links")
-    if not new.isEmpty():
-        links = links.unionByName(new)
-        labels = written(components(links, "a", "b"), f"{folder}/tried-labels")
-    if not more.isEmpty():
-        open_members = members.join(more, ["band", "value"], "left_semi")
-        clusters = written(components(open_members, "least", "node"), f"{folder}/clusters")
-        placed = clusters.select(F.lit(0).alias("band"), F.col("label").alias("value"), "node")
-        placed = placed.join(nodes.select("node", "n"), "node")
-        new, _ = _stray_pairs(placed, nodes, labels, f"{folder}/rest", sets)
+    clusters = _clusters(members, labels, folder)
+    for turn, tries in enumerate((FIRST_TRIES, None)):
+        tried = f"{folder}/turn-{turn}"
+        rows = clusters.join(labels, "node", "left").join(sets, "node").select(
+            "cluster", "node", F.coalesce("label", "node").alias("label"), "shingles",
+            F.size("shingles").cast("long").alias("n"), F.xxhash64("shingles").alias("piece"),
+        )
+        rows = written(rows, f"{tried}/rows")
+        found = _prefix_pairs(rows, nodes, tried, tries)
+        pairs = found.where(F.col("a").isNotNull())
+        new = written(_confirmed_in_clusters(pairs, rows, tried), f"{tried}/links")
         if not new.isEmpty():
             links = links.unionByName(new)
-            labels = written(components(links, "a", "b"), f"{folder}/rest-labels")
+            labels = written(components(links, "a", "b"), f"{tried}/labels")
+        more = found.where(F.col("a").isNull()).select("cluster").distinct()
+        if more.isEmpty():
+            break
+        clusters = written(clusters.join(more, "cluster", "left_semi"), f"{tried}/more")
     # Several rows of one id tie the nodes of their texts together.
     ids = written(
         owners.groupBy("doc_id").agg(F.min("node").alias("node"), F.max("node").alias("last")), f"{folder}/ids"

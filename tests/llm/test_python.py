@@ -433,10 +433,9 @@ def test_groups_against_brute_force(documents, awkward):
 
 def test_small_blocks_lose_no_link(spark, documents, monkeypatch):
     """Strays and members of one bucket dealt to several blocks still all meet."""
-    monkeypatch.setattr(minmax_dedup, "STRAY_BLOCK", 3)
-    monkeypatch.setattr(minmax_dedup, "MEMBER_BLOCK", 4)
-    monkeypatch.setattr(minmax_dedup, "STRAY_SHINGLES", 700)
-    monkeypatch.setattr(minmax_dedup, "MEMBER_SHINGLES", 1500)
+    monkeypatch.setattr(minmax_dedup, "POSTING_BLOCK", 3)
+    monkeypatch.setattr(minmax_dedup, "SET_BLOCK", 700)
+    monkeypatch.setattr(minmax_dedup, "SIGNATURES", 5)
     monkeypatch.setattr(minmax_dedup, "FIRST_TRIES", 1)
     rng = np.random.default_rng(9)
     base = [f"w{i}" for i in range(150)]
@@ -454,3 +453,21 @@ def test_signature_values_agree_as_often_as_sets_do():
     parts = [minmax_dedup.signature(a[:450]), minmax_dedup.signature(a[450:])]
     n = minmax_dedup.PERMUTATIONS
     assert (np.minimum(*[p[:n] for p in parts]) == minmax_dedup.signature(a)[:n]).all()
+
+
+def test_pages_of_one_template_never_meet(spark, tmp_path):
+    """Sets alike below the threshold have rare shingles of their own; a close pair among them is found."""
+    rng = np.random.default_rng(11)
+    template = rng.integers(-(2**62), 2**62, 70)
+    sets = [np.concatenate([template, rng.integers(-(2**62), 2**62, 30)]) for _ in range(300)]
+    close = sets[7].copy()
+    close[95:] = rng.integers(-(2**62), 2**62, 5)
+    rows = [(1, i, i, 100, i, [int(x) for x in s]) for i, s in enumerate([*sets, close])]
+    columns = "cluster long, node long, label long, n long, piece long, shingles array<long>"
+    rows = spark.createDataFrame(rows, columns)
+    sigs = [(i, 100, bytearray(minmax_dedup.signature(np.asarray(s).view(np.uint64)).astype(np.uint8).tobytes())) for i, s in enumerate([*sets, close])]
+    nodes = spark.createDataFrame(sigs, "node long, n long, sig binary")
+    pairs = minmax_dedup._prefix_pairs(rows, nodes, str(tmp_path), None)
+    assert [(r.a, r.b) for r in pairs.collect()] == [(7, 300)]
+    links = minmax_dedup._confirmed_in_clusters(pairs, rows, str(tmp_path))
+    assert [(r.a, r.b) for r in links.collect()] == [(7, 300)]
