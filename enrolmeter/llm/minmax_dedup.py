@@ -8,17 +8,20 @@ make a band; least values fill one half of the bands, largest values the other.
 1. Texts with equal sets become one node, so copies cost one row each.
 2. Nodes that share a band's value share a bucket. In every bucket each node meets the bucket's
    least node (a star, linear in the bucket), links are confirmed, components are labelled.
-3. Buckets of more than two nodes that still hold several labels are joined to clusters. There
-   an exact prefix filter finds candidates: shingles are put in one order for the cluster,
-   those held by one label first, then from rare to frequent, and only nodes of different labels
-   that have one of their first n - ceil(0.8 n) + 1 in common are a pair. Frequent ones meet in
-   blocks of bounded size. Sizes and the share of equal signature values rule out more.
-4. In a first turn each node gives the ``FIRST_TRIES`` most alike of a cell, those are confirmed
-   and nodes labelled again. Clusters that had more take a second turn, with all candidates.
-
-So a group of thousands of near copies is not expanded into its pairs, pages of one template
-that share too little never meet (their own shingles fill the prefixes), and yet no pair of a
-bucket in different components stays untested. Confirmation is exact, on full sets.
+3. Buckets of more than two nodes that still hold several labels are joined to clusters, whose
+   sets are dealt into cells of bounded size. In a cell an exact prefix filter finds candidates:
+   shingles are put in one order, those held by one label first, then from rare to frequent, and
+   only nodes of labels still apart that have one of their first n - ceil(0.8 n) + 1 in common
+   are tried. Sizes and the share of equal signature values rule out more. What passes is compared
+   on full sets in the cell, and a cell returns only links that join two labels: fewer than its nodes.
+4. A small cluster is one cell. A large one is dealt into blocks, at most ``FIRST_TRIES`` times,
+   each by another hash, and nodes labelled again, until nearly all that belong together have one
+   label. In a last turn the nodes beside its largest label meet all others of the cluster.
+
+So a group of thousands of near copies is not expanded into rows of pairs, pages of one template
+that share too little are not tried (their own shingles fill the prefixes), and yet no pair of a
+cluster in different components stays untested. Links are confirmed on full sets, here and once
+more when cells are brought together.
 
 What can be missed: two sets of similarity s share no bucket with chance (1 - s^4)^32, below
 6e-8 at 0.8 and less above; fewer than half of the 128 signature values agree with a chance
@@ -49,8 +52,9 @@ PERMUTATIONS, ROWS = 64, 4
 BANDS = 2 * PERMUTATIONS // ROWS
 THRESHOLD = 80  # per cent
 LEAST_EQUAL = PERMUTATIONS  # half of the signature's values
+#: Dealings of a large cluster before all of its labels meet.
 FIRST_TRIES = 3
-#: Blocks of nodes that hold a shingle, and of a cluster's sets, by their shingles.
+#: Blocks of a cluster's sets hold so many shingles, where a set counts as POSTING_BLOCK at least.
 POSTING_BLOCK, SET_BLOCK = 512, 500_000
 #: Pairs whose signatures are compared at once.
 SIGNATURES = 100_000
@@ -171,30 +175,6 @@ def _clusters(members: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
     return written(joined.select(F.col("label").alias("cluster"), "node"), f"{folder}/clusters")
 
 
-def _prefixes(rows: DataFrame, folder: str) -> DataFrame:
-    """(cluster, shingle, node, label, n) of the shingles by which two labels can be linked.
-
-    A cluster's shingles have one order: those of a single label, then the others from rare to
-    frequent. Two sets of similarity 0.8 have in common one of the first n - ceil(0.8 n) + 1 of
-    each. One that a single label holds cannot tie two, so only the rest is returned.
-    """
-    flat = rows.select("cluster", "node", "piece", "label", "n", F.explode("shingles").alias("shingle"))
-    shared = (
-        flat.groupBy("cluster", "shingle")
-        .agg(F.min("label").alias("first"), F.max("label").alias("last"), F.count("*").alias("frequency"))
-        .where(F.col("first") != F.col("last"))
-        .select("cluster", "shingle", "frequency")
-    )
-    # A table beside the join, so that a frequent shingle's rows may be split.
-    held = flat.join(written(shared, f"{folder}/shared"), ["cluster", "shingle"])
-    own_set = Window.partitionBy("cluster", "node", "piece")
-    held = held.withColumn("place", F.row_number().over(own_set.orderBy("frequency", "shingle")))
-    held = held.withColumn("single", F.col("n") - F.count("*").over(own_set))
-    prefix = F.col("n") - F.ceil(F.col("n") * THRESHOLD / 100) + 1
-    kept = held.where(F.col("single") + F.col("place") <= prefix)
-    return written(kept.select("cluster", "shingle", "node", "label", "n"), f"{folder}/prefixes")
-
-
 def _blocks(groups: DataFrame, weight: str, block: int, *keys: str) -> DataFrame:
     """Groups with their number of ``blocks``, and small ones gathered to about one block.
 
@@ -208,56 +188,117 @@ def _blocks(groups: DataFrame, weight: str, block: int, *keys: str) -> DataFrame
     )
 
 
-def _prefix_pairs(rows: DataFrame, nodes: DataFrame, folder: str, tries: int | None) -> DataFrame:
-    """(cluster, a, b): pairs of two labels with a common prefix shingle, alike by size and signature.
+def _weights(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.sum(F.greatest("n", F.lit(POSTING_BLOCK))).alias("weight"))
+
 
-    With ``tries`` a node gives so many, its most alike, in a cell, and a row without pair tells
-    that a cluster had more.
+def _prefix_pairs(rows: DataFrame, nodes: DataFrame, folder: str, turn: int | None) -> DataFrame:
+    """(cluster, a, b): links that tie two labels, in every cell no more than tie its labels together.
+
+    In a numbered ``turn`` sets meet those of their own block, by a dealing of that number. Without
+    a number all meet that have different labels: those beside the cluster's largest label ask,
+    in blocks of their own, all others of the cluster.
     """
-    postings = _prefixes(rows, folder)
-    held = postings.groupBy("cluster", "shingle").agg(
-        F.count("*").alias("size"), F.min("label").alias("first"), F.max("label").alias("last")
-    )
-    held = written(held.where(F.col("first") != F.col("last")), f"{folder}/postings")
-    placed = postings.join(
-        written(_blocks(held, "size", POSTING_BLOCK, "cluster", "shingle"), f"{folder}/cells"), ["cluster", "shingle"]
-    )
-    placed = placed.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
-    placed = placed.join(nodes.select("node", "n", "sig"), ["node", "n"])
-    found = placed.groupBy("cell", "low", "high").applyInPandas(
-        lambda cell: _cell(cell, tries), "cluster long, a long, b long"
-    )
+    cells = written(_blocks(_weights(rows, "cluster"), "weight", SET_BLOCK, "cluster"), f"{folder}/cells")
+    placed = rows.select("cluster", "node", "label", "n", "shingles").join(nodes.select("node", "n", "sig"), ["node", "n"])
+    if turn is not None:
+        block = F.pmod(F.xxhash64("node", F.lit(turn)), F.col("blocks")).cast("int")
+        every = placed.join(cells, "cluster").select(
+            "*", F.lit(0).alias("low"), block.alias("high"), F.lit(True).alias("asks"), F.lit(True).alias("met")
+        )
+    else:
+        largest = _weights(rows, "cluster", "label").groupBy("cluster").agg(
+            F.max(F.struct("weight", "label")).alias("most"), F.sum("weight").alias("weight")
+        )
+        asking = F.ceil((F.col("weight") - F.col("most.weight")) / SET_BLOCK).cast("int")
+        dealt = cells.join(largest, "cluster").where(asking > 0).select(
+            "cluster", "cell", "blocks", F.col("most.label").alias("largest"), asking.alias("asking")
+        )
+        placed = placed.join(written(dealt, f"{folder}/dealt"), "cluster")
+        own = lambda blocks: F.pmod(F.xxhash64("node"), F.col(blocks)).cast("int")
+        other = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+        ask = placed.where(F.col("label") != F.col("largest")).select(
+            "*", own("asking").alias("low"), other("blocks").alias("high"), F.lit(True).alias("asks"), F.lit(False).alias("met")
+        )
+        met = placed.select(
+            "*", other("asking").alias("low"), own("blocks").alias("high"), F.lit(False).alias("asks"), F.lit(True).alias("met")
+        )
+        every = ask.unionByName(met)
+    every = every.select("cell", "low", "high", "cluster", "node", "label", "n", "shingles", "sig", "asks", "met")
+    found = every.groupBy("cell", "low", "high").applyInPandas(_cell, "cluster long, a long, b long")
     return written(found.distinct(), f"{folder}/pairs")
 
 
-def _cell(rows: pd.DataFrame, tries: int | None) -> pd.DataFrame:
-    """The pairs of one cell: within a block, or between two blocks of one posting."""
-    cluster, node, label, n, own = (rows[c].to_numpy() for c in ("cluster", "node", "label", "n", "own"))
-    keys = pd.DataFrame({"cluster": cluster, "shingle": rows["shingle"].to_numpy(), "at": np.arange(len(rows))})
-    met = keys.merge(keys, on=["cluster", "shingle"])
-    left, right = met["at_x"].to_numpy(), met["at_y"].to_numpy()
-    fit = (node[left] < node[right]) & (label[left] != label[right])
-    if rows["low"].iloc[0] != rows["high"].iloc[0]:
-        fit &= own[left] != own[right]
-    fit &= 100 * np.minimum(n[left], n[right]) >= THRESHOLD * np.maximum(n[left], n[right])
-    left, right = left[fit], right[fit]
+def _cell(rows: pd.DataFrame) -> pd.DataFrame:
+    ties = [(cluster, a, b) for cluster, part in rows.groupby("cluster") for a, b in _ties(part)]
+    return pd.DataFrame(ties, columns=["cluster", "a", "b"], dtype="int64")
+
+
+def _prefixes(codes: np.ndarray, owner: np.ndarray, sizes: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """The places in ``codes`` of the shingles by which two labels can be linked.
+
+    A cell's shingles have one order: those of a single label, then the others from rare to
+    frequent. Two sets of similarity 0.8 have in common one of the first n - ceil(0.8 n) + 1 of
+    each. One that a single label holds cannot tie two, so only the rest is returned.
+    """
+    by_code = np.argsort(codes, kind="stable")
+    starts = np.flatnonzero(np.diff(codes[by_code], prepend=-1))
+    labels = label[owner[by_code]]
+    several = np.minimum.reduceat(labels, starts) != np.maximum.reduceat(labels, starts)
+    frequency = np.diff(np.append(starts, len(codes)))
+    rank = np.empty(len(starts), np.int64)
+    rank[np.lexsort((frequency, several))] = np.arange(len(starts))
+    by_rank = np.lexsort((rank[codes], owner))
+    place = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    prefix = sizes + (-sizes * THRESHOLD) // 100 + 1
+    return by_rank[(place < prefix[owner]) & several[codes[by_rank]]]
+
+
+def _ties(rows: pd.DataFrame) -> list[tuple[int, int]]:
+    """Links between the labels of some sets of one cluster, each joining two that were apart.
+
+    Every pair of an asking and a met set of two labels that are still apart, with a prefix shingle
+    in common and alike by size and signature, is tried on full sets, the most alike first.
+    """
+    node, asks, met = (rows[c].to_numpy() for c in ("node", "asks", "met"))
+    label = np.unique(rows["label"].to_numpy(), return_inverse=True)[1]
+    if not label.any():
+        return []
+    held = list(rows["shingles"])
+    sizes = np.array(list(map(len, held)))
+    stops = np.cumsum(sizes)
+    codes = np.unique(np.concatenate(held), return_inverse=True)[1]
+    owner = np.repeat(np.arange(len(held)), sizes)
+    prefixes = _prefixes(codes, owner, sizes, label)
+    asked = prefixes[asks[owner[prefixes]]]
+    listed = prefixes[met[owner[prefixes]]]
+    listed = listed[np.argsort(codes[listed], kind="stable")]
+    bounds = np.searchsorted(codes[listed], np.arange(codes.max() + 2))
+    listed = owner[listed]
     sigs = np.frombuffer(b"".join(rows["sig"]), np.uint8).reshape(len(rows), -1)
-    equal = np.zeros(len(left), np.int64)
-    for i in range(0, len(left), SIGNATURES):
-        part = slice(i, i + SIGNATURES)
-        equal[part] = (sigs[left[part]] == sigs[right[part]]).sum(axis=1)
-    pairs = pd.DataFrame({"cluster": cluster[left], "a": node[left], "b": node[right], "equal": equal})
-    pairs = pairs[equal >= LEAST_EQUAL].sort_values(["cluster", "a", "b", "equal"])
-    pairs = pairs.drop_duplicates(["cluster", "a", "b"], keep="last")
-    if tries is not None and len(pairs):
-        order = pairs.sort_values(["equal", "a", "b"], ascending=[False, True, True])
-        first = order.groupby(["cluster", "a"]).cumcount() < tries
-        first |= order.groupby(["cluster", "b"]).cumcount() < tries
-        more = order.loc[~first, ["cluster"]].drop_duplicates()
-        pairs = pd.concat([order[first], more])
-    return pairs[["cluster", "a", "b"]].astype("Int64")
+    own = np.zeros(len(bounds), bool)
+    ties = []
+    for part in np.split(asked, np.flatnonzero(np.diff(owner[asked])) + 1) if len(asked) else ():
+        one = owner[part[0]]
+        near = np.zeros(len(rows), bool)
+        for code in codes[part].tolist():
+            near[listed[bounds[code] : bounds[code + 1]]] = True
+        near &= (label != label[one]) & (100 * np.minimum(sizes, sizes[one]) >= THRESHOLD * np.maximum(sizes, sizes[one]))
+        near = np.flatnonzero(near)
+        equal = [(sigs[near[i : i + SIGNATURES]] == sigs[one]).sum(axis=1) for i in range(0, len(near), SIGNATURES)]
+        equal = np.concatenate([np.zeros(0, np.int64), *equal])
+        order = np.argsort(-equal, kind="stable")
+        mine = codes[stops[one] - sizes[one] : stops[one]]
+        own[mine] = True
+        for other in near[order[: (equal >= LEAST_EQUAL).sum()]].tolist():
+            if label[other] == label[one]:
+                continue
+            both = np.count_nonzero(own[codes[stops[other] - sizes[other] : stops[other]]])
+            if 100 * both >= THRESHOLD * (len(mine) + sizes[other] - both):
+                ties.append((min(node[one], node[other]), max(node[one], node[other])))
+                label[label == label[other]] = label[one]
+        own[mine] = False
+    return ties
 
 
 def _confirmed_in_clusters(pairs: DataFrame, rows: DataFrame, folder: str) -> DataFrame:
@@ -348,23 +389,23 @@ def group_near_duplicates(docs: DataFrame, shingle_words: int = 5) -> DataFrame:
     links = written(_confirmed(_star_pairs(members, nodes), sets), f"{folder}/star")
     labels = written(components(links, "a", "b"), f"{folder}/labels")
     clusters = _clusters(members, labels, folder)
-    for turn, tries in enumerate((FIRST_TRIES, None)):
+    for turn in (*range(FIRST_TRIES), None):
         tried = f"{folder}/turn-{turn}"
         rows = clusters.join(labels, "node", "left").join(sets, "node").select(
             "cluster", "node", F.coalesce("label", "node").alias("label"), "shingles",
-            F.size("shingles").cast("long").alias("n"), F.xxhash64("shingles").alias("piece"),
+            F.size("shingles").cast("long").alias("n"),
         )
         rows = written(rows, f"{tried}/rows")
-        found = _prefix_pairs(rows, nodes, tried, tries)
-        pairs = found.where(F.col("a").isNotNull())
-        new = written(_confirmed_in_clusters(pairs, rows, tried), f"{tried}/links")
-        if not new.isEmpty():
+        pairs = _prefix_pairs(rows, nodes, tried, turn)
+        if not pairs.isEmpty():
+            new = written(_confirmed_in_clusters(pairs, rows, tried), f"{tried}/links")
             links = links.unionByName(new)
             labels = written(components(links, "a", "b"), f"{tried}/labels")
-        more = found.where(F.col("a").isNull()).select("cluster").distinct()
-        if more.isEmpty():
+        if turn is None:
+            break
+        clusters = written(_still_open(clusters, rows, labels), f"{tried}/more")
+        if clusters.isEmpty():
             break
-        clusters = written(clusters.join(more, "cluster", "left_semi"), f"{tried}/more")
     # Several rows of one id tie the nodes of their texts together.
     ids = written(
         owners.groupBy("doc_id").agg(F.min("node").alias("node"), F.max("node").alias("last")), f"{folder}/ids"
@@ -377,6 +418,14 @@ def group_near_duplicates(docs: DataFrame, shingle_words: int = 5) -> DataFrame:
     return _labelled(docs, signed, grouped)
 
 
+def _still_open(clusters: DataFrame, rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The clusters of several blocks that hold several labels: not all of their sets have met."""
+    large = _weights(rows, "cluster").where(F.col("weight") > SET_BLOCK).select("cluster")
+    some = clusters.join(large, "cluster", "left_semi").join(labels, "node", "left")
+    several = some.groupBy("cluster").agg(F.countDistinct(F.coalesce("label", "node")).alias("labels")).where("labels > 1")
+    return clusters.join(several.select("cluster"), "cluster", "left_semi")
+
+
 def _labelled(docs: DataFrame, signed: DataFrame, grouped: DataFrame) -> DataFrame:
     """``docs`` with the size of their sets and the group of their id."""
     known = (
