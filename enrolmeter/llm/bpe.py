@@ -64,6 +64,29 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+class Recent(dict):
+    """What was used last: of ``size`` entries, and as many that were used before those."""
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.size, self.older = size, {}
+
+    def find(self, key):
+        """The value, None without one. A value in use comes back among the last."""
+        value = self.get(key)
+        if value is None:
+            value = self.older.get(key)
+            if value is not None:
+                self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+
+
 class Codec:
     """Encodes and decodes with one vocabulary and one split pattern."""
 
@@ -71,9 +94,16 @@ class Codec:
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.split = regex.compile(pattern).findall
-        self.codes: dict[str, list[int]] = {}
-        self.leaves: dict[bytes, list[int]] = {}
-        self.pairs: dict[tuple[int, int], list[int]] = {}
+        self.none = 1 + max(ranks.values(), default=0)  # the rank of what does not merge
+        self.of_byte = [ranks.get(bytes([b])) for b in range(256)]
+        # left * none + right: the rank, and so the id, of the token that two tokens make.
+        self.made = {
+            left * self.none + right: rank
+            for token, rank in ranks.items()
+            for at in range(1, len(token))
+            if (left := ranks.get(token[:at])) is not None and (right := ranks.get(token[at:])) is not None
+        }
+        self.codes, self.leaves, self.pairs = Recent(CACHED), Recent(CACHED), Recent(CACHED)
 
     # --- tokens within a piece ------------------------------------------------------------
 
@@ -81,20 +111,21 @@ class Codec:
         """Lowest rank first, leftmost of equals, until no neighbours merge."""
         if len(piece) > SHORT_BYTES:
             return self._merge_long(piece)
-        ranks = self.ranks
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        near = [ranks.get(a + b) for a, b in zip(parts, parts[1:])]
-        while True:
-            known = [r for r in near if r is not None]
-            if not known:
-                return [ranks[p] for p in parts]
-            i = near.index(min(known))
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del near[i]
+        known, none = self.made.get, self.none
+        ids = [self.of_byte[b] for b in piece]
+        near = [known(a * none + b, none) for a, b in zip(ids, ids[1:])]
+        while near:
+            low = min(near)
+            if low == none:
+                break
+            i = near.index(low)
+            ids[i] = low
+            del ids[i + 1], near[i]
             if i:
-                near[i - 1] = ranks.get(parts[i - 1] + parts[i])
+                near[i - 1] = known(ids[i - 1] * none + low, none)
             if i < len(near):
-                near[i] = ranks.get(parts[i] + parts[i + 1])
+                near[i] = known(low * none + ids[i + 1], none)
+        return ids
 
     def _merge_long(self, piece: bytes) -> list[int]:
         """The same with a heap over linked parts, for windows that have grown."""
@@ -131,12 +162,11 @@ class Codec:
 
     def pair(self, left: int, right: int) -> list[int]:
         """The encoding of two tokens' bytes: the two themselves where they are stable."""
-        known = self.pairs.get((left, right))
+        key = left * self.none + right
+        known = self.pairs.find(key)
         if known is None:
-            if len(self.pairs) >= CACHED:
-                self.pairs.clear()
             known = self.merge(self.bytes_of[left] + self.bytes_of[right])
-            self.pairs[left, right] = known
+            self.pairs.keep(key, known)
         return known
 
     def stable(self, left: int, right: int) -> bool:
@@ -161,23 +191,20 @@ class Codec:
 
     def tree(self, piece: bytes) -> list[int]:
         if len(piece) <= LEAF_BYTES:
-            code = self.leaves.get(piece)
+            code = self.leaves.find(piece)
             if code is None:
-                if len(self.leaves) >= CACHED:
-                    self.leaves.clear()
-                code = self.leaves[piece] = self.merge(piece)
+                code = self.merge(piece)
+                self.leaves.keep(piece, code)
             return code
         half = len(piece) // 2
         return self.join(self.tree(piece[:half]), self.tree(piece[half:]))
 
     def piece(self, text: str) -> list[int]:
-        code = self.codes.get(text)
+        code = self.codes.find(text)
         if code is None:
             code = self.tree(text.encode())
             if len(text) <= SHORT_BYTES:
-                if len(self.codes) >= CACHED:
-                    self.codes.clear()
-                self.codes[text] = code
+                self.codes.keep(text, code)
         return code
 
     # --- pieces of a text -----------------------------------------------------------------

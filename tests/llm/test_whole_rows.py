@@ -2,8 +2,9 @@
 
 import numpy as np
 import pandas as pd
+import public_tokenizers
 
-from enrolmeter.llm import minmax_dedup, pii
+from enrolmeter.llm import bpe, minmax_dedup, pii
 from enrolmeter.llm.boosting import boost, boost_table
 
 
@@ -51,3 +52,14 @@ def test_a_cell_returns_links_that_join_and_no_pairs():
     })
     found = minmax_dedup._cell(rows)
     assert len(found) == 59 and set(found["a"]) | set(found["b"]) == set(range(60))
+
+
+def test_a_piece_in_use_is_not_merged_again():
+    codec = bpe.Codec(bpe.load_ranks(public_tokenizers.path(bpe.VOCABULARY)), public_tokenizers.PATTERN)
+    codec.codes = bpe.Recent(3)
+    merged, tree = [], codec.tree
+    codec.tree = lambda piece: merged.append(piece) or tree(piece)
+    for i in range(40):
+        assert codec.encode("aprovechar") == tree(b"aprovechar")
+        codec.encode(f"x{'abcdefghij'[i % 10] * 3}{'klmnopqrst'[i // 10]}")
+    assert merged.count(b"aprovechar") == 1
