@@ -56,6 +56,8 @@ PIECE_CHARS = 1 << 19
 SCAN_BYTES, SCAN_ROWS = 48, 1024
 #: What a worker keeps of merged words, and what a word takes beside its bytes.
 MERGED_BYTES, WORD_BYTES = 32 << 20, 160
+#: Distinct words that a task counts before it passes them on.
+COUNTED_WORDS = 100_000
 #: Steps of the histogram of counts in a doubling.
 STEPS = 8
 
@@ -322,30 +324,35 @@ def _reordered(order: np.ndarray, sizes: np.ndarray, flat: np.ndarray) -> np.nda
 
 
 class Merged:
-    """Ids of words merged before. Beyond ``MERGED_BYTES`` it starts anew: it spares time, nothing else."""
+    """Ids of words merged before: the last ``MERGED_BYTES``, and as many that were used before those.
+
+    What is forgotten is merged again: it spares time, nothing else.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.clear()
-
-    def clear(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.held = 0
-        self.sizes, self.starts, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.held, self.last, self.older = 0, {}, {}
 
     def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each word, all ids) of distinct words."""
         if self.held > MERGED_BYTES:
-            self.clear()
-        new = [w for w in words if w not in self.number]
+            self.held, self.last, self.older = 0, {}, self.last
+        known, before = self.last.get, self.older.get
+        codes = [known(w) or before(w) for w in words]
+        new = [i for i, code in enumerate(codes) if code is None]
         if new:
-            sizes, ids = self.vocabulary.merge_all(new)
-            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
-            self.held += sum(map(len, new)) + WORD_BYTES * len(new)
-            self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
-            self.starts = np.cumsum(self.sizes) - self.sizes
-        at = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        return self.sizes[at], self.ids[_stretches(self.starts[at], self.sizes[at])]
+            sizes, ids = self.vocabulary.merge_all([words[i] for i in new])
+            data, stops = ids.astype(np.int32).tobytes(), (4 * np.cumsum(sizes)).tolist()
+            for i, start, stop in zip(new, [0, *stops], stops):
+                codes[i] = data[start:stop]
+        if self.older:
+            fresh = [(w, c) for w, c in zip(words, codes) if w not in self.last]
+        else:
+            fresh = [(words[i], codes[i]) for i in new]
+        self.last.update(fresh)
+        self.held += sum(len(w) for w, _ in fresh) + WORD_BYTES * len(fresh)
+        sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+        return sizes, np.frombuffer(b"".join(codes), np.int32)
 
 
 class Coder:
@@ -390,19 +397,30 @@ class Coder:
 
     def _ids_of(self, words: list[str | int]) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each word, all of them): from the lexicon, else merged."""
-        coded = [b"" if isinstance(w, int) else w.encode("utf-8", "replace") for w in words]
-        lengths = np.fromiter(map(len, coded), np.int64, len(coded))
-        data = np.frombuffer(b"".join(coded), np.uint8)
-        numbers = self.lexicon.numbers(data, np.cumsum(lengths) - lengths, lengths)
+        special = [i for i, w in enumerate(words) if isinstance(w, int)] if self.special else []
+        plain = list(words)
+        for i in special:
+            plain[i] = ""
+        try:
+            raw = "".join(plain).encode()
+            # The same bytes by word: in ASCII a character is a byte.
+            sized = plain if len(raw) == sum(map(len, plain)) else [w.encode() for w in plain]
+        except UnicodeEncodeError:  # a lone surrogate
+            sized = [w.encode("utf-8", "replace") for w in plain]
+            raw = b"".join(sized)
+        lengths = np.fromiter(map(len, sized), np.int64, len(sized))
+        data = np.frombuffer(raw, np.uint8)
+        starts = np.cumsum(lengths) - lengths
+        numbers = self.lexicon.numbers(data, starts, lengths)
         known = numbers >= 0
         stops = self.lexicon.stops
         sizes = np.zeros(len(words), np.int64)
         sizes[known] = stops[numbers[known] + 1] - stops[numbers[known]]
-        special = [i for i, w in enumerate(words) if isinstance(w, int)]
         known[special], sizes[special] = False, 1
         unseen = ~known
         unseen[special] = False
-        sizes[unseen], merged = self.merged.of([coded[i] for i in np.flatnonzero(unseen).tolist()])
+        begun, ended = starts[unseen].tolist(), (starts + lengths)[unseen].tolist()
+        sizes[unseen], merged = self.merged.of([raw[a:b] for a, b in zip(begun, ended)])
         flat, places = np.zeros(int(sizes.sum()), np.int32), np.cumsum(sizes) - sizes
         flat[places[special]] = [words[i] for i in special]
         flat[_stretches(places[unseen], sizes[unseen])] = merged
@@ -441,17 +459,23 @@ def frequent_words(docs: DataFrame, vocabulary: Vocabulary, pattern: str, most:
     """The most frequent words of all texts, at most ``most``: all above a bound on their counts."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
+    def partial(counts: Counter) -> pa.RecordBatch:
+        some = {w: n for w, n in counts.items() if isinstance(w, str) and len(w) <= LEXICON_BYTES}
+        return pa.RecordBatch.from_arrays(
+            [pa.array(some.keys(), pa.string()), pa.array(some.values(), pa.int64())], ["word", "n"]
+        )
+
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(shared.value, Lexicon(compiled({})), pattern)
+        counts: Counter = Counter()
         for batch in batches:
             for texts in _in_pieces(batch.column(0)):
-                counts: Counter = Counter()
                 for text in texts:
                     counts.update(coder.words(text))
-                some = {w: n for w, n in counts.items() if isinstance(w, str) and len(w) <= LEXICON_BYTES}
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(some.keys(), pa.string()), pa.array(some.values(), pa.int64())], ["word", "n"]
-                )
+                if len(counts) >= COUNTED_WORDS:
+                    yield partial(counts)
+                    counts = Counter()
+        yield partial(counts)
 
     found = docs.select(text_of().alias("text")).where("text <> ''").mapInArrow(counted, "word string, n long")
     found = found.where(F.octet_length("word") <= LEXICON_BYTES).groupBy("word").agg(F.sum("n").alias("n"))

@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 
-from enrolmeter.llm import bpe, minmax_dedup, pii
+from enrolmeter.llm import bpe, lexicon_bpe, minmax_dedup, pii
 from enrolmeter.llm.boosting import boost, boost_table
 
 
@@ -63,3 +63,18 @@ def test_a_piece_in_use_is_not_merged_again():
         assert codec.encode("aprovechar") == tree(b"aprovechar")
         codec.encode(f"x{'abcdefghij'[i % 10] * 3}{'klmnopqrst'[i // 10]}")
     assert merged.count(b"aprovechar") == 1
+
+
+def test_a_merged_word_in_use_is_not_merged_again(monkeypatch):
+    monkeypatch.setattr(lexicon_bpe, "MERGED_BYTES", 400)
+    vocabulary = lexicon_bpe.Vocabulary.load(public_tokenizers.path(lexicon_bpe.VOCABULARY))
+    merged, merge_all = [], vocabulary.merge_all
+    monkeypatch.setattr(vocabulary, "merge_all", lambda words: merged.extend(words) or merge_all(words))
+    memory = lexicon_bpe.Merged(vocabulary)
+    for i in range(30):
+        words = [b"aprovechar", b"word%d" % i]
+        sizes, ids = memory.of(words)
+        expected = merge_all(words)
+        assert sizes.tolist() == expected[0].tolist() and ids.tolist() == expected[1].tolist()
+    assert merged.count(b"aprovechar") == 1
+    assert memory.of([])[1].tolist() == []
