@@ -399,11 +399,10 @@ def group_near_duplicates(docs: DataFrame, shingle_words: int = 5) -> DataFrame:
         pairs = _prefix_pairs(rows, nodes, tried, turn)
         if not pairs.isEmpty():
             new = written(_confirmed_in_clusters(pairs, rows, tried), f"{tried}/links")
-            links = links.unionByName(new)
-            labels = written(components(links, "a", "b"), f"{tried}/labels")
+            labels = _relabelled(labels, new, tried)
         if turn is None:
             break
-        clusters = written(_still_open(clusters, rows, labels), f"{tried}/more")
+        clusters = written(_still_open(clusters, rows, labels, tried), f"{tried}/more")
         if clusters.isEmpty():
             break
     # Several rows of one id tie the nodes of their texts together.
@@ -413,17 +412,36 @@ def group_near_duplicates(docs: DataFrame, shingle_words: int = 5) -> DataFrame:
     several = ids.where(F.col("node") != F.col("last")).select("doc_id", F.col("node").alias("a"))
     if not several.isEmpty():
         tied = owners.join(several, "doc_id").select("a", F.col("node").alias("b"))
-        labels = written(components(links.unionByName(tied), "a", "b"), f"{folder}/labels-tied")
+        labels = _relabelled(labels, written(tied, f"{folder}/tied"), f"{folder}/by-id")
     grouped = ids.join(labels, "node", "left").select("doc_id", F.coalesce("label", "node").alias("component_id"))
     return _labelled(docs, signed, grouped)
 
 
-def _still_open(clusters: DataFrame, rows: DataFrame, labels: DataFrame) -> DataFrame:
+def _relabelled(labels: DataFrame, links: DataFrame, folder: str) -> DataFrame:
+    """``labels`` after more ``links``: only the labels that these tie are labelled anew."""
+    ends = [
+        labels.select(F.col("node").alias(side), F.col("label").alias(f"{side}_label")) for side in ("a", "b")
+    ]
+    ties = links.join(ends[0], "a", "left").join(ends[1], "b", "left").select(
+        F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b")
+    )
+    tied = components(ties, "a", "b").select(F.col("node").alias("old"), F.col("label").alias("new"))
+    tied = written(tied, f"{folder}/tied-labels")
+    known = labels.join(tied, F.col("label") == F.col("old"), "left").select("node", F.coalesce("new", "label").alias("label"))
+    alone = tied.join(labels, F.col("old") == F.col("node"), "left_anti").select(
+        F.col("old").alias("node"), F.col("new").alias("label")
+    )
+    return written(known.unionByName(alone), f"{folder}/labels")
+
+
+def _still_open(clusters: DataFrame, rows: DataFrame, labels: DataFrame, folder: str) -> DataFrame:
     """The clusters of several blocks that hold several labels: not all of their sets have met."""
-    large = _weights(rows, "cluster").where(F.col("weight") > SET_BLOCK).select("cluster")
-    some = clusters.join(large, "cluster", "left_semi").join(labels, "node", "left")
-    several = some.groupBy("cluster").agg(F.countDistinct(F.coalesce("label", "node")).alias("labels")).where("labels > 1")
-    return clusters.join(several.select("cluster"), "cluster", "left_semi")
+    now = rows.select("cluster", "node", "n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    held = now.groupBy("cluster").agg(
+        F.sum(F.greatest("n", F.lit(POSTING_BLOCK))).alias("weight"), F.min("label").alias("first"), F.max("label").alias("last")
+    )
+    several = held.where((F.col("weight") > SET_BLOCK) & (F.col("first") != F.col("last"))).select("cluster")
+    return clusters.join(written(several, f"{folder}/several"), "cluster", "left_semi")
 
 
 def _labelled(docs: DataFrame, signed: DataFrame, grouped: DataFrame) -> DataFrame:

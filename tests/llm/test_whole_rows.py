@@ -4,7 +4,11 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 
+import pytest
 from enrolmeter.llm import bpe, lexicon_bpe, minmax_dedup, pii
+from enrolmeter.llm import components as component_rows
+from enrolmeter.llm.common import written
+from enrolmeter.llm.components import components
 from enrolmeter.llm.boosting import boost, boost_table
 
 
@@ -78,3 +82,29 @@ def test_a_merged_word_in_use_is_not_merged_again(monkeypatch):
         assert sizes.tolist() == expected[0].tolist() and ids.tolist() == expected[1].tolist()
     assert merged.count(b"aprovechar") == 1
     assert memory.of([])[1].tolist() == []
+
+
+def test_a_small_graph_is_labelled_without_rounds_of_jobs(spark, monkeypatch):
+    """A chain of 60 takes several star rounds, each with shuffles; below SMALL_GRAPH there is one task and none."""
+    tables = []
+    monkeypatch.setattr(component_rows, "written", lambda df, path: tables.append(path) or written(df, path))
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(101, 100)], "a long, b long")
+    labels = components(edges, "a", "b")
+    assert len(tables) == 1
+    assert "Exchange" not in labels._jdf.queryExecution().executedPlan().toString()
+    assert {(r.node, r.label) for r in labels.collect()} == {(i, 0) for i in range(61)} | {(100, 100), (101, 100)}
+
+
+@pytest.mark.parametrize("small_graph", [0, 1000])
+def test_more_links_label_only_what_they_tie(spark, small_graph, monkeypatch, tmp_path):
+    monkeypatch.setattr(component_rows, "SMALL_GRAPH", small_graph)
+    seen = []
+    monkeypatch.setattr(minmax_dedup, "components", lambda edges, a, b: seen.append(edges.distinct().count()) or components(edges, a, b))
+    old = [(i, i + 1) for i in range(0, 40, 2)] + [(50, 51), (51, 52)]
+    new = [(1, 3), (52, 7), (90, 51), (95, 96), (2, 3), (40, 95)]  # labels, singles, one that is known
+    frame = lambda links: spark.createDataFrame(links, "a long, b long")
+    labels = written(components(frame(old), "a", "b"), f"{tmp_path}/labels")
+    got = minmax_dedup._relabelled(labels, frame(new), str(tmp_path / "more")).collect()
+    expected = components(frame(old + new), "a", "b").collect()
+    assert sorted((r.node, r.label) for r in got) == sorted((r.node, r.label) for r in expected)
+    assert seen == [6]
