@@ -53,7 +53,8 @@ LEAF_CHARS = 2048
 #: Pieces up to this many bytes are merged outright; beyond a short piece is long.
 LEAF_BYTES = 8
 SHORT_BYTES = 48
-CACHED = 200_000
+#: Pieces whose codes a worker keeps, and halves and pairs of tokens, of which few come back that often.
+CACHED, CACHED_PARTS = 200_000, 50_000
 #: Characters or ids that come back to Spark at once.
 PIECE = 1 << 19
 
@@ -103,7 +104,7 @@ class Codec:
             for at in range(1, len(token))
             if (left := ranks.get(token[:at])) is not None and (right := ranks.get(token[at:])) is not None
         }
-        self.codes, self.leaves, self.pairs = Recent(CACHED), Recent(CACHED), Recent(CACHED)
+        self.codes, self.leaves, self.pairs = Recent(CACHED), Recent(CACHED_PARTS), Recent(CACHED_PARTS)
 
     # --- tokens within a piece ------------------------------------------------------------
 
@@ -295,6 +296,8 @@ def _coded(ranks, path: str, pattern: str, convert, returned: str):
         codec = _codec(path, ranks, pattern)
         for batch in batches:
             yield from convert(codec, batch)
+            # Arrow's pool would keep what the batch took until the worker ends.
+            pa.default_memory_pool().release_unused()
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     # Not deterministic to Spark: a filter on a result must not have it computed twice.

@@ -41,6 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -59,7 +60,8 @@ POSTING_BLOCK, SET_BLOCK = 512, 500_000
 #: Pairs whose signatures are compared at once.
 SIGNATURES = 100_000
 SLICE = 8192
-CACHED_WORDS = 500_000
+#: Hashes of words that a task keeps; most words that are not among so many come once.
+CACHED_WORDS = 50_000
 
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _RANDOM = np.random.default_rng(20240229)
@@ -83,6 +85,12 @@ def _word(word: bytes) -> int:
     return value
 
 
+def _forget() -> None:
+    """A worker lives on for other stages: what this one kept goes with its task."""
+    _words.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def shingle_set(text: str, size: int) -> np.ndarray:
     """Sorted distinct hashes of the text's shingles of ``size`` words."""
     words = text.encode("utf-8", "replace").translate(_FOLD).split()
@@ -121,12 +129,14 @@ def _signed(batches: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame
             out["bands"].append(bands.astype(np.int64))
             out["sig"].append((_mixed(values) >> np.uint64(56)).astype(np.uint8).tobytes())
         yield pd.DataFrame({"doc_id": batch["doc_id"], "text_hash": batch["text_hash"], **out})
+    _forget()
 
 
 def _sets(batches: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
         sets = [shingle_set(text, size).view(np.int64) for text in batch["text"]]
         yield pd.DataFrame({"node": batch["doc_id"], "shingles": sets})
+    _forget()
 
 
 # --- buckets --------------------------------------------------------------------------------

@@ -3,13 +3,13 @@
 import numpy as np
 import pandas as pd
 import public_tokenizers
-
 import pytest
+
 from enrolmeter.llm import bpe, lexicon_bpe, minmax_dedup, pii
 from enrolmeter.llm import components as component_rows
+from enrolmeter.llm.boosting import boost, boost_table
 from enrolmeter.llm.common import written
 from enrolmeter.llm.components import components
-from enrolmeter.llm.boosting import boost, boost_table
 
 
 def test_all_examples_are_learned_from_beyond_a_stratum(spark, documents, monkeypatch):
@@ -108,3 +108,26 @@ def test_more_links_label_only_what_they_tie(spark, small_graph, monkeypatch, tm
     expected = components(frame(old + new), "a", "b").collect()
     assert sorted((r.node, r.label) for r in got) == sorted((r.node, r.label) for r in expected)
     assert seen == [6]
+
+
+def test_a_worker_keeps_no_words_after_a_task():
+    """Workers go on to other stages: in the pipeline words of the near-duplicates lay beside the tokenizer's codes."""
+    rows = [(i, i, " ".join(f"w{i}x{k}" for k in range(400))) for i in range(200)]
+    batch = pd.DataFrame(rows, columns=["doc_id", "text_hash", "text"])
+    most = []
+    for work in (minmax_dedup._signed, minmax_dedup._sets):
+        for made in work(iter([batch, batch]), 5):
+            most.append(len(minmax_dedup._words))
+            assert len(made) == 200
+        assert not minmax_dedup._words
+    assert 0 < max(most) <= minmax_dedup.CACHED_WORDS <= 50_000
+
+
+def test_halves_and_pairs_are_kept_within_a_bound_of_their_own(monkeypatch):
+    ranks = bpe.load_ranks(public_tokenizers.path(bpe.VOCABULARY))
+    texts = ["".join(f"wörter{i * 7919}ohne " for i in range(k, k + 300)) for k in range(0, 1500, 300)]
+    whole = [bpe.Codec(ranks, public_tokenizers.PATTERN).encode(t) for t in texts]
+    monkeypatch.setattr(bpe, "CACHED_PARTS", 40, raising=False)
+    codec = bpe.Codec(ranks, public_tokenizers.PATTERN)
+    assert [codec.encode(t) for t in texts] == whole
+    assert all(len(kept) + len(kept.older) <= 80 for kept in (codec.leaves, codec.pairs)) and len(codec.codes) > 80
