@@ -314,36 +314,12 @@ def _ties(rows: pd.DataFrame) -> list[tuple[int, int]]:
 def _confirmed_in_clusters(pairs: DataFrame, rows: DataFrame, folder: str) -> DataFrame:
     """The pairs that are links by their full sets.
 
-    A cluster's pairs are dealt by blocks of nodes, so that a set goes to a cell once and not
-    once for each of its pairs.
+    Cells return fewer pairs than they have nodes, and the two sets of a pair are alike in size, so
+    a set for each of its pairs is no more than the cells held. Only sets in pairs are moved.
     """
-    weights = rows.groupBy("cluster").agg(F.sum("n").alias("weight"))
-    cells = written(_blocks(weights, "weight", SET_BLOCK, "cluster"), f"{folder}/set-cells")
-    placed = pairs.join(cells, "cluster").select(
-        "cell", "a", "b",
-        *(F.pmod(F.xxhash64(side), F.col("blocks")).cast("int").alias(f"{side}_block") for side in ("a", "b")),
-    )
-    placed = written(placed, f"{folder}/placed")
-    cell = ["cell", "a_block", "b_block"]
-    met = placed.select(*cell, F.explode(F.array("a", "b")).alias("node")).distinct()
+    met = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = written(met, f"{folder}/met").join(rows.select("node", "shingles"), "node")
-    return placed.groupBy(*cell).cogroup(sets.groupBy(*cell)).applyInPandas(_links, "a long, b long").distinct()
-
-
-def _links(pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
-    owner, held = sets["node"].to_numpy(), list(sets["shingles"])
-    at = pd.DataFrame({"node": owner, "at": np.arange(len(owner))})
-    met = pairs[["a", "b"]].merge(at, left_on="a", right_on="node").merge(at, left_on="b", right_on="node")
-    found = []
-    for own_at, partners in met.groupby("at_x")["at_y"]:
-        own, others = np.sort(held[own_at]), [held[i] for i in partners]
-        sizes = np.array([len(s) for s in others])
-        every = np.concatenate(others)
-        place = np.minimum(np.searchsorted(own, every), len(own) - 1)
-        both = np.add.reduceat(own[place] == every, np.cumsum([0, *sizes[:-1]]), dtype=np.int64)
-        linked = 100 * both >= THRESHOLD * (sizes + len(own) - both)
-        found += [(owner[own_at], owner[i]) for i in partners[linked]]
-    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+    return _confirmed(pairs.select("a", "b"), written(sets, f"{folder}/met-sets")).distinct()
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
