@@ -18,6 +18,9 @@ states they go through as a pair alone, and that merge would happen there too. I
 encoding all pairs hold; so a join needs to grow its window only until the two pairs at its
 edges hold.
 
+A piece of at most ``LEAF_BYTES`` bytes is a leaf. The leaves that a batch brings for the first time are
+merged together, one merge of each in a round.
+
 Decoding concatenates the tokens' bytes up a tree in the same way.
 
 Both run on Arrow batches in tasks, one text after the other, with no shuffle. The ranks (some
@@ -32,7 +35,8 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -51,10 +55,12 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 AHEAD = 2
 LEAF_CHARS = 2048
 #: Pieces up to this many bytes are merged outright; beyond a short piece is long.
-LEAF_BYTES = 8
+LEAF_BYTES = 16
 SHORT_BYTES = 48
 #: Pieces whose codes a worker keeps, and halves and pairs of tokens, of which few come back that often.
 CACHED, CACHED_PARTS = 200_000, 50_000
+#: New leaves that are merged together, at most and at least.
+TOGETHER, FEW = 2048, 32
 #: Characters or ids that come back to Spark at once.
 PIECE = 1 << 19
 
@@ -104,6 +110,12 @@ class Codec:
             for at in range(1, len(token))
             if (left := ranks.get(token[:at])) is not None and (right := ranks.get(token[at:])) is not None
         }
+        # The same as sorted arrays, whose last entry is that of no pair, and for bytes as a table.
+        self.made_keys = np.array([*sorted(self.made), np.iinfo(np.int64).max], np.int64)
+        self.made_ranks = np.array([*map(self.made.get, self.made_keys[:-1].tolist()), self.none], np.int32)
+        if None not in self.of_byte:
+            self.byte_ids = np.array(self.of_byte, np.int32)
+            self.byte_ranks = self._ranks_of(self.byte_ids[:, None], self.byte_ids)
         self.codes, self.leaves, self.pairs = Recent(CACHED), Recent(CACHED_PARTS), Recent(CACHED_PARTS)
 
     # --- tokens within a piece ------------------------------------------------------------
@@ -128,6 +140,50 @@ class Codec:
                 near[i] = known(low * none + ids[i + 1], none)
         return ids
 
+    def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left.astype(np.int64) * self.none + right
+        at = np.searchsorted(self.made_keys, keys)
+        return np.where(self.made_keys[at] == keys, self.made_ranks[at], np.int32(self.none))
+
+    def merge_together(self, pieces: list[bytes]) -> list[bytes]:
+        """``merge`` of each of some short pieces, as int32 in a row: in each round all that still merge do so once.
+
+        A piece is a column; its place i holds a token and the rank of this one with the next.
+        """
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        width = int(lengths.max(initial=1))
+        every = np.frombuffer(b"".join([p.ljust(width, b"\0") for p in pieces]), np.uint8)
+        every = every.reshape(-1, width).T
+        places = np.arange(width)[:, None]
+        done, ids = np.zeros((len(pieces), width), np.int32), self.byte_ids[every]
+        ranks = np.full(ids.shape, self.none, np.int32)
+        ranks[:-1] = self.byte_ranks[every[:-1], every[1:]]
+        ranks[places >= lengths - 1] = self.none
+        columns, sizes = np.arange(len(pieces)), lengths.copy()
+        while True:
+            best = ranks.argmin(axis=0)
+            low = ranks[best, np.arange(len(columns))]
+            goes = low < self.none
+            if not goes.all():
+                done[columns[~goes]] = ids[:, ~goes].T
+                columns, ids, ranks, best, low = columns[goes], ids[:, goes], ranks[:, goes], best[goes], low[goes]
+            if not len(columns):
+                data = done[np.arange(width) < sizes[:, None]].tobytes()
+                stops = (4 * np.cumsum(sizes)).tolist()
+                return [data[start:stop] for start, stop in zip([0, *stops], stops)]
+            sizes[columns] -= 1
+            # The right one of the pair goes; all after it move up by one place.
+            after = places[:-1] > best
+            np.copyto(ids[:-1], ids[1:], where=after)
+            np.copyto(ranks[:-1], ranks[1:], where=after)
+            ranks[-1] = self.none
+            column = np.arange(len(columns))
+            ids[best, column] = low
+            ranks[best, column] = self.none
+            for near, there in ((best - 1, best > 0), (best, best + 1 < sizes[columns])):
+                place, where = near[there], column[there]
+                ranks[place, where] = self._ranks_of(ids[place, where], ids[place + 1, where])
+
     def _merge_long(self, piece: bytes) -> list[int]:
         """The same with a heap over linked parts, for windows that have grown."""
         n, ranks = len(piece), self.ranks
@@ -171,14 +227,17 @@ class Codec:
         return known
 
     def stable(self, left: int, right: int) -> bool:
-        return self.pair(left, right) == [left, right]
+        code = self.pairs.get(left * self.none + right) or self.pair(left, right)
+        return len(code) == 2 and code[0] == left
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of two encoded neighbours of one piece."""
         if not left or not right:
             return left + right
         a = b = 1
-        window = self.pair(left[-1], right[0])
+        window = self.pairs.get(left[-1] * self.none + right[0]) or self.pair(left[-1], right[0])
+        if len(window) == 2 and window[0] == left[-1]:
+            return left + right  # and the pairs at its edges are those of the two encodings
         while True:
             left_holds = a >= len(left) or self.stable(left[-a - 1], window[0])
             right_holds = b >= len(right) or self.stable(window[-1], right[b])
@@ -198,26 +257,60 @@ class Codec:
                 self.leaves.keep(piece, code)
             return code
         half = len(piece) // 2
-        return self.join(self.tree(piece[:half]), self.tree(piece[half:]))
-
-    def piece(self, text: str) -> list[int]:
-        code = self.codes.find(text)
-        if code is None:
-            code = self.tree(text.encode())
-            if len(text) <= SHORT_BYTES:
-                self.codes.keep(text, code)
+        left, right, leaf = piece[:half], piece[half:], self.leaves.get
+        return self.join(leaf(left) or self.tree(left), leaf(right) or self.tree(right))
+
+    def piece(self, text: str) -> bytes:
+        """The tokens of a piece, as int32 in a row."""
+        return self.codes.find(text) or self.new_piece(text)
+
+    def new_piece(self, text: str) -> bytes:
+        code = array("i", self.tree(text.encode())).tobytes()
+        if len(text) <= SHORT_BYTES:
+            self.codes.keep(text, code)
         return code
 
+    def known(self, pieces: Iterable[str]) -> dict[str, bytes]:
+        """The tokens of each piece. New ones that are a leaf each are merged together if they are many."""
+        get = self.codes.get
+        codes = {p: get(p) for p in pieces}
+        leaves = []
+        for p in [p for p, code in codes.items() if code is None]:
+            codes[p] = self.codes.find(p)
+            if codes[p] is None:
+                piece = p.encode()
+                if len(piece) <= LEAF_BYTES:
+                    leaves.append((len(piece), piece, p))
+                else:
+                    codes[p] = self.new_piece(p)
+        leaves.sort()
+        for at in range(0, len(leaves), TOGETHER):
+            some = leaves[at : at + TOGETHER]
+            if len(some) < FEW or None in self.of_byte:
+                codes.update((p, self.new_piece(p)) for _, _, p in some)
+                continue
+            for (_, _, p), code in zip(some, self.merge_together([piece for _, piece, _ in some])):
+                codes[p] = code
+                self.codes.keep(p, code)
+        return codes
+
     # --- pieces of a text -----------------------------------------------------------------
 
-    def pieces(self, text: str) -> tuple[list[str], list[list[int]]]:
-        """The text's pieces and the tokens of each."""
+    def cut(self, text: str) -> list[list[str]]:
+        """The pieces of each leaf of the text's tree."""
         if len(text) <= LEAF_CHARS:
-            found = self.split(text)
-            codes = self.codes
-            return found, [codes.get(p) or self.piece(p) for p in found]
+            return [self.split(text)]
         half = len(text) // 2
-        return self.join_pieces(self.pieces(text[:half]), self.pieces(text[half:]))
+        return self.cut(text[:half]) + self.cut(text[half:])
+
+    def joined(self, length: int, leaves: Iterator[list[str]], known: dict[str, bytes]):
+        """The pieces, and the tokens of each, of a text of that length, whose leaves come in a row."""
+        if length <= LEAF_CHARS:
+            found = next(leaves)
+            return found, list(map(known.__getitem__, found))
+        half = length // 2
+        left = self.joined(half, leaves, known)
+        return self.join_pieces(left, self.joined(length - half, leaves, known))
 
     def join_pieces(self, left, right):
         (pieces, codes), (after, after_codes) = left, right
@@ -253,20 +346,28 @@ class Codec:
                     )
             taken *= 2
 
-    def _grown(self, piece: str, parts: list[str], codes: list[list[int]]) -> list[int]:
+    def _grown(self, piece: str, parts: list[str], codes: list[bytes]) -> bytes:
         """Tokens of a long piece made of the first whole parts: those joined, else anew."""
         if len(piece) <= SHORT_BYTES:
             return self.piece(piece)
         length, code = 0, []
         for part, more in zip(parts, codes):
             length += len(part)
-            code = self.join(code, more)
+            code = self.join(code, array("i", more).tolist())
             if length >= len(piece):
                 break
-        return code if length == len(piece) else self.piece(piece)
+        return array("i", code).tobytes() if length == len(piece) else self.piece(piece)
+
+    def encode_all(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The tokens of each text."""
+        cuts = [self.cut(text) for text in texts]
+        known = self.known(dict.fromkeys(chain.from_iterable(chain.from_iterable(cuts))))
+        for text, leaves in zip(texts, cuts):
+            yield np.frombuffer(b"".join(self.joined(len(text), iter(leaves), known)[1]), np.int32)
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(self.pieces(text)[1]))
+        (ids,) = self.encode_all([text])
+        return ids.tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         if len(ids) <= LEAF_CHARS:
@@ -319,7 +420,8 @@ def _pieces(sizes: Iterator[int]) -> Iterator[tuple[int, int]]:
 def _encoded(codec: Codec, texts: pa.Array) -> Iterator[pa.Array]:
     sizes = pc.binary_length(texts).to_pylist()
     for start, stop in _pieces(iter(sizes)):
-        lists = [np.array(codec.encode(text.as_py()), np.int32) for text in texts.slice(start, stop - start)]
+        some = texts.slice(start, stop - start).to_pylist()
+        lists = list(codec.encode_all(some))
         offsets = np.cumsum([0, *map(len, lists)])
         yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(lists)))
 

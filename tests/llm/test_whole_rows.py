@@ -131,3 +131,41 @@ def test_halves_and_pairs_are_kept_within_a_bound_of_their_own(monkeypatch):
     codec = bpe.Codec(ranks, public_tokenizers.PATTERN)
     assert [codec.encode(t) for t in texts] == whole
     assert all(len(kept) + len(kept.older) <= 80 for kept in (codec.leaves, codec.pairs)) and len(codec.codes) > 80
+
+
+def test_new_leaves_of_a_batch_are_merged_together_and_longer_pieces_by_the_tree(monkeypatch):
+    ranks = bpe.load_ranks(public_tokenizers.path(bpe.VOCABULARY))
+    text = "".join(f" {a}{b}{c}ung" for a in "aäbc" for b in ("st", "日本", "ee", "nn") for c in ("or", "ch", "xq"))
+    text += " " + " ".join("unzweifelhaft" * n + "keiten" for n in range(2, 9))
+    one_by_one = bpe.Codec(ranks, public_tokenizers.PATTERN)
+    expected = [i for piece in one_by_one.split(text) for i in one_by_one.merge(piece.encode())]
+    codec = bpe.Codec(ranks, public_tokenizers.PATTERN)
+    grown, tree = [], codec.tree
+    monkeypatch.setattr(codec, "tree", lambda piece: grown.append(piece) or tree(piece))
+    assert codec.encode(text) == expected and codec.encode(text) == expected
+    long = {p.encode() for p in codec.split(text) if len(p.encode()) > bpe.LEAF_BYTES}
+    assert len(long) == 7 and long <= set(grown)
+    assert not [p for p in map(str.encode, codec.split(text)) if len(p) <= bpe.LEAF_BYTES and p in grown]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_leaves_merged_together_are_those_merged_one_by_one(seed):
+    """With a vocabulary of few letters, so that equal ranks meet and pieces end in every round."""
+    rng = np.random.default_rng(seed)
+    tokens = [bytes([b]) for b in range(256)]
+    while len(tokens) < 290:
+        made = b"".join(tokens[i] for i in rng.choice([97, 98, 99, *range(256, len(tokens))], 2))
+        if made not in tokens and len(made) <= 12:
+            tokens.append(made)
+    codec = bpe.Codec({token: rank for rank, token in enumerate(tokens)}, public_tokenizers.PATTERN)
+    pieces = [bytes(rng.choice([97, 98, 99, 195], rng.integers(1, bpe.LEAF_BYTES + 1)).tolist()) for _ in range(3000)]
+    together = codec.merge_together(pieces)
+    assert [np.frombuffer(code, np.int32).tolist() for code in together] == [codec.merge(p) for p in pieces]
+    assert codec.merge_together([]) == []
+
+
+def test_many_new_words_with_a_vocabulary_that_lacks_bytes():
+    ranks = {bytes([b]): i for i, b in enumerate(b" abcdefghij")} | {b"ab": 11, b"abc": 12}
+    text = "".join(f" {a}ab{b}abc" for a in "abcdefghij" for b in "abcdefghij")
+    codec = bpe.Codec(ranks, public_tokenizers.PATTERN)
+    assert codec.decode(codec.encode(text)) == text.encode() and 12 in codec.encode(text)
